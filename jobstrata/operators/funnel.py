@@ -103,12 +103,14 @@ class Funnel:
         )
         return self.counts(df).select(F.inline(rows))
 
-    def survivors(self, df: DataFrame, date: str = "posted_date") -> DataFrame:
+    def survivors(
+        self, df: DataFrame, date: str = "posted_date", latest: DataFrame | None = None
+    ) -> DataFrame:
         """The rows that pass every step and the window."""
         kept = df.filter(self._matched())
         if self.date is None:
             return kept
-        return recent(kept.withColumn(date, self.date), date, self.days)
+        return recent(kept.withColumn(date, self.date), date, self.days, latest)
 
 
 def compare_funnels(first: DataFrame, second: DataFrame) -> DataFrame:

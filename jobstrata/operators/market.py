@@ -145,7 +145,7 @@ def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
     return long.groupBy("item").agg(
         F.max(F.when(F.col("has"), F.col("n"))).alias("n_with"),
         F.max(F.when(F.col("has"), F.col("quantile"))).alias("median_with"),
-        F.max(F.when(~F.col("has"), F.col("n"))).alias("n_without"),
+        F.coalesce(F.max(F.when(~F.col("has"), F.col("n"))), F.lit(0)).alias("n_without"),
         F.max(F.when(~F.col("has"), F.col("quantile"))).alias("median_without"),
     ).withColumn("difference", F.col("median_with") - F.col("median_without"))
 
