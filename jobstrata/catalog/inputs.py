@@ -185,7 +185,7 @@ def pay_sql(source: str) -> str:
 
 # Distinct tokens of a document's whole text.
 TOKENS_SQL = """tokens AS (SELECT doc_id, lang, source, n_chars,
-    list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), t -> t <> '')) AS items
+    list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda t: t <> '')) AS items
     FROM documents)"""
 
 

@@ -68,7 +68,7 @@ def keep_between(col: Column, low: float, high: float) -> Column:
 def band(col: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """Label of the right-closed interval ``(edge, next edge]`` holding the value."""
     label = F.lit(None).cast("string")
-    for low, high, name in reversed(list(zip(edges, edges[1:], labels, strict=True))):
+    for low, high, name in reversed(list(zip(edges[:-1], edges[1:], labels, strict=True))):
         label = F.when((col > low) & (col <= high), F.lit(name)).otherwise(label)
     return label
 

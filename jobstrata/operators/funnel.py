@@ -53,22 +53,31 @@ class Funnel:
     def _matched(self) -> Column:
         return reduce(and_, [p for _, p in self.steps])
 
+    def _depth(self) -> Column:
+        """How many steps a row passes before the first it fails."""
+        depth = F.lit(len(self.steps))
+        for i, (_, predicate) in reversed(list(enumerate(self.steps))):
+            depth = F.when(predicate, depth).otherwise(F.lit(i))
+        return depth
+
     def counts(self, df: DataFrame) -> DataFrame:
         """One row: raw, every cumulative step, undated/before/in window, extra counts."""
-        measures = [F.count("*").alias("raw")]
-        kept = F.lit(True)
-        for name, predicate in self.steps:
-            kept = kept & predicate
-            measures.append(F.count_if(kept).alias(name))
-        measures += [F.count_if(p).alias(n) for n, p in self.compared.items()]
-        inside = self._matched()
-        measures += [F.count_if(inside & p).alias(n) for n, p in self.in_panel.items()]
+        # Each pattern and date is evaluated once per row, dates on matched rows only.
+        rows = df.withColumn("_depth", self._depth())
+        inside = F.col("_depth") == len(self.steps)
+        measures = [
+            F.count("*").alias("raw"),
+            *[F.count_if(F.col("_depth") > i).alias(n) for i, (n, _) in enumerate(self.steps)],
+            *[F.count_if(p).alias(n) for n, p in self.compared.items()],
+            *[F.count_if(inside & p).alias(n) for n, p in self.in_panel.items()],
+        ]
         if self.date is None:
-            return df.agg(*measures)
+            return rows.agg(*measures)
 
+        day = F.when(inside, self.date).alias("day")
+        daily = rows.groupBy(day).agg(*measures)
         last = self.steps[-1][0]
-        daily = df.groupBy(self.date.alias("day")).agg(*measures)
-        latest = daily.agg(F.max(F.when(F.col(last) > 0, F.col("day"))))
+        latest = daily.agg(F.max("day"))
         dated = daily.withColumn("latest", latest.scalar())
         within = F.col("day") >= F.date_sub("latest", self.days)
         totals = ["raw", *[n for n, _ in self.steps], *self.compared]
