@@ -159,8 +159,8 @@ def state_sql(text: str, state: str, state_name: str, validate: bool = False) ->
         WHEN {state_ok} THEN {state}
         WHEN {state_name} IN ({listed}) OR upper(trim({state_name})) IN ({codes}) THEN trim({state_name})
         {cities} ELSE '{preset.STATE_UNRESOLVED}' END"""
-    named = " ".join(f"WHEN '{c}' THEN '{n}'" for c, n in preset.STATES.items())
-    return f"CASE upper({found}) {named} ELSE {found} END"
+    named = ", ".join(f"'{c}': '{n}'" for c, n in preset.STATES.items())
+    return f"coalesce(MAP {{{named}}}[upper({found})], {found})"
 
 
 def number_sql(col: str) -> str:

@@ -25,27 +25,43 @@ class PlaceRules:
 
 def state_of(text: Column, state: Column, state_name: Column, rules: PlaceRules) -> Column:
     """First source that answers: capital pattern, name in text, code in text,
-    state column, a valid state name, city list. Codes end up as names."""
-    by_name = F.regexp_extract(text, "(" + "|".join(rules.names) + ")", 1)
-    by_code = F.regexp_extract(text, rules.code_in_text, 1)
-    known = list(rules.names) + list(rules.codes)
+    state column, a valid state name, city list. Codes end up as names.
+
+    ``coalesce`` stops at the first answer, and every pattern is written so that
+    it is searched for once, not once to test and again to extract.
+    """
+    names, codes = list(rules.names), list(rules.codes)
+
+    def full(label: Column) -> Column:
+        return relabel(F.upper(label), rules.codes, label)
+
+    def fixed(label: str) -> Column:
+        return F.lit(rules.codes.get(label.upper(), label))
+
+    def found(pattern: str) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+
+    def known(label: Column) -> Column:
+        return label.isin(names) | F.upper(label).isin(codes)
 
-    code_ok, state_ok = by_code != "", filled(state)
     if rules.validate:
-        code_ok = by_code.isin(known)
-        state_ok = state.isin(list(rules.names)) | F.upper(state).isin(list(rules.codes))
-    name_ok = state_name.isin(list(rules.names)) | F.upper(F.trim(state_name)).isin(
-        list(rules.codes)
+        by_code = F.transform(
+            found(rules.code_in_text), lambda c: F.when(c.isin(names + codes), full(c))
+        )
+        by_state = F.when(known(state), full(state))
+    else:
+        by_code = F.transform(found(rules.code_in_text), full)
+        by_state = F.when(filled(state), full(state))
+    by_state_name = F.when(
+        state_name.isin(names) | F.upper(F.trim(state_name)).isin(codes),
+        full(F.trim(state_name)),
     )
-
-    found = (
-        F.when(text.rlike(rules.capital_pattern), F.lit(rules.capital_label))
-        .when(by_name != "", by_name)
-        .when(code_ok, by_code)
-        .when(state_ok, state)
-        .when(name_ok, F.trim(state_name))
+    return F.coalesce(
+        F.when(text.rlike(rules.capital_pattern), fixed(rules.capital_label)),
+        F.get(F.transform(found("(" + "|".join(names) + ")"), full), F.lit(0)),
+        F.get(by_code, F.lit(0)),
+        by_state,
+        by_state_name,
+        *[F.when(text.rlike("(?i)" + p), fixed(label)) for p, label in rules.cities],
+        fixed(rules.unresolved),
     )
-    for pattern, label in rules.cities:
-        found = found.when(text.rlike("(?i)" + pattern), F.lit(label))
-    found = found.otherwise(F.lit(rules.unresolved))
-    return relabel(F.upper(found), rules.codes, found)
