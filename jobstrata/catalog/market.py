@@ -341,8 +341,8 @@ def running_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same tables read off the whole cleaned panel.
 
 
-def _panel_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return market_tables(build_panel(raw_postings(spark, sf_dir), RULES))
+def _panel_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return market_tables()[name](build_panel(raw_postings(spark, sf_dir), RULES))
 
 
 @query(
@@ -350,7 +350,7 @@ def _panel_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     FROM panel WHERE salary_midpoint IS NOT NULL GROUP BY REMOTE_TYPE_NAME"""
 )
 def panel_pay_by_arrangement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel_tables(spark, sf_dir)["median_pay_by_arrangement"].withColumn(
+    return _panel_table(spark, sf_dir, "median_pay_by_arrangement").withColumn(
         "median", F.round("median", 4)
     )
 
@@ -361,7 +361,7 @@ def panel_pay_by_arrangement(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM counted WHERE value <> 'Unspecified' ORDER BY n DESC, value LIMIT 10"""
 )
 def panel_leading_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel_tables(spark, sf_dir)["leading_states"]
+    return _panel_table(spark, sf_dir, "leading_states")
 
 
 @query(
@@ -370,6 +370,6 @@ def panel_leading_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     {_role_sql('GROUP BY role', 'role')} UNION ALL {_role_sql('', 'NULL')}"""
 )
 def panel_role_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel_tables(spark, sf_dir)["role_comparison"].withColumn(
+    return _panel_table(spark, sf_dir, "role_comparison").withColumn(
         "median_pay", F.round("median_pay", 4)
     )

@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobstrata.functions.cells import band, share
+from jobstrata.operators.joins import same_keys
 
 
 def label_counts(df: DataFrame, col: Column, stated: Column | None = None) -> DataFrame:
     """``value, n, denom``: rows per label, and how many of them count in the denominator."""
     denom = F.count("*") if stated is None else F.count_if(stated)
-    return df.groupBy(col.alias("value")).agg(F.count("*").alias("n"), denom.alias("denom"))
+    return (
+        df.withColumn("value", col)
+        .groupBy("value")
+        .agg(F.count("*").alias("n"), denom.alias("denom"))
+    )
 
 
 def frequency(
@@ -45,8 +50,8 @@ def top_k(
     ``keep`` leaves labels out of the list but not out of the denominator. Ties
     at the cut are broken by label.
     """
-    counted = label_counts(df, col)
-    listed = counted if keep is None else counted.filter(keep)
+    counted = label_counts(df, col, F.lit(True) if keep is None else keep)
+    listed = counted.filter(F.col("denom") > 0)
     best = listed.orderBy(F.desc("n"), F.asc("value")).limit(k)
     return best.select(
         "value",
@@ -78,9 +83,15 @@ def level_table(df: DataFrame, levels: Sequence[str]) -> DataFrame:
 
 
 def complete(counts: DataFrame, levels: Sequence[str], fill: Sequence[str]) -> DataFrame:
-    """Every level in its fixed order; ``fill`` columns are 0 where a level is absent."""
-    listed = F.broadcast(counts.filter(F.col("value").isin(list(levels))))
-    return level_table(counts, levels).join(listed, "value", "left").fillna(0, subset=list(fill))
+    """Every level in its fixed order; ``fill`` columns are 0 where a level is absent.
+
+    The counts are matched to the levels by a join first, which leaves at most one
+    row per level to broadcast. A filter on the label would be pushed into the
+    scan and keep it from being shared with the total.
+    """
+    fixed = level_table(counts, levels)
+    listed = same_keys(counts, F.broadcast(fixed.select("value")), ["value"])
+    return fixed.join(F.broadcast(listed), "value", "left").fillna(0, subset=list(fill))
 
 
 def side_by_side(

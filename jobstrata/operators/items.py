@@ -1,8 +1,10 @@
 """Demand for listed items (skills), counted once per posting.
 
-A posting's list is a set, so each posting counts an item at most once. Totals
-ride along in the same explode as marker rows: one scan and one shuffle give
-the item counts and their denominators.
+A posting's list is a set, so each posting counts an item at most once. Each
+posting also contributes one marker row without an item, so one scan and one
+shuffle give the item counts and their denominators. Markers are told apart by
+an aggregate, not by a filter on the grouping key: Spark would push such a
+filter into the scan, and the two halves could no longer share it.
 """
 
 from __future__ import annotations
@@ -15,8 +17,6 @@ from jobstrata.functions.cells import share
 from jobstrata.operators.frequency import level_table
 from jobstrata.operators.joins import same_keys
 
-POSTING, LISTED, ITEM = 0, 1, 2
-
 
 def item_counts(df: DataFrame, items: Column) -> DataFrame:
     """``item, postings``."""
@@ -27,46 +27,51 @@ def item_counts(df: DataFrame, items: Column) -> DataFrame:
     )
 
 
-def _cells(items: Column) -> Column:
-    def cell(kind: int, item: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), item.alias("item"))
-
-    nothing = F.lit(None).cast("string")
-    distinct = F.coalesce(F.array_distinct(items), F.array().cast("array<string>"))
-    markers = F.when(
-        F.size(distinct) > 0, F.array(cell(POSTING, nothing), cell(LISTED, nothing))
-    ).otherwise(F.array(cell(POSTING, nothing)))
-    return F.concat(markers, F.transform(distinct, lambda i: cell(ITEM, i)))
+def with_marker(items: Column) -> Column:
+    """The distinct items of a list after one null that stands for the posting itself."""
+    listed = F.array_compact(F.array_distinct(items))
+    marker = F.array(F.lit(None).cast("string"))
+    return F.coalesce(F.concat(marker, listed), marker)
 
 
 def marked_counts(df: DataFrame, by: Sequence[str], items: Column) -> DataFrame:
-    """``by, kind, item, n``: postings, postings with any item, and postings per item."""
+    """``by, item, uses, postings, with_items``; the null item's row holds the
+    group's postings and how many of them list anything, the others their uses."""
+    is_marker = F.col("item").isNull()
     return (
-        df.select(*by, F.inline(_cells(items)))
-        .groupBy(*by, "kind", "item")
-        .agg(F.count("*").alias("n"))
+        df.select(*by, (F.size(items) > 0).alias("listed"), F.explode(with_marker(items)).alias("item"))
+        .groupBy(*by, "item")
+        .agg(
+            F.count_if(~is_marker).alias("uses"),
+            F.count_if(is_marker).alias("postings"),
+            F.count_if(is_marker & F.col("listed")).alias("with_items"),
+        )
     )
 
 
+def _used(marked: DataFrame) -> DataFrame:
+    return marked.filter(F.col("uses") > 0)
+
+
 def _total(marked: DataFrame) -> Column:
-    return marked.filter(F.col("kind") == POSTING).agg(F.sum("n")).scalar()
+    return marked.agg(F.sum("postings")).scalar()
 
 
 def item_coverage(df: DataFrame, items: Column) -> DataFrame:
     """One row: postings, postings with at least one item, distinct items."""
-    kind = F.col("kind")
     return marked_counts(df, [], items).agg(
-        F.sum(F.when(kind == POSTING, F.col("n"))).alias("postings"),
-        F.coalesce(F.sum(F.when(kind == LISTED, F.col("n"))), F.lit(0)).alias("with_items"),
-        F.count_if(kind == ITEM).alias("distinct_items"),
+        F.sum("postings").alias("postings"),
+        F.sum("with_items").alias("with_items"),
+        F.count_if(F.col("uses") > 0).alias("distinct_items"),
     )
 
 
 def item_shares(df: DataFrame, items: Column, digits: int = 1) -> DataFrame:
     """``item, postings, share`` with the share in percent of all postings."""
     marked = marked_counts(df, [], items)
-    return marked.filter(F.col("kind") == ITEM).select(
-        "item", F.col("n").alias("postings"), share(F.col("n"), _total(marked), digits).alias("share")
+    n = F.col("uses")
+    return _used(marked).select(
+        "item", n.alias("postings"), share(n, _total(marked), digits).alias("share")
     )
 
 
@@ -95,7 +100,7 @@ def demand(df: DataFrame, items: Column, skills: Sequence[str], digits: int = 1)
     """``item, postings, share`` for a given list; items nobody asks for count 0."""
     wanted = F.array_intersect(items, F.array(*[F.lit(s) for s in skills]))
     marked = marked_counts(df, [], wanted)
-    counted = marked.filter(F.col("kind") == ITEM).select("item", "n")
+    counted = _used(marked).select("item", F.col("uses").alias("n"))
     listed = level_table(df, skills).select(F.col("value").alias("item"))
     n = F.coalesce("n", F.lit(0))
     return listed.join(F.broadcast(counted), "item", "left").select(
@@ -116,12 +121,12 @@ def demand_by_group(
     the share in percent of the group's postings, not rounded."""
     wanted = F.array_intersect(items, F.array(*[F.lit(s) for s in skills]))
     marked = marked_counts(df, [group], wanted)
-    groups = marked.filter(F.col("kind") == POSTING).select(
+    groups = marked.filter(F.col("postings") > 0).select(
         group,
-        F.col("n").alias("group_postings"),
+        F.col("postings").alias("group_postings"),
         F.explode(F.array(*[F.lit(s) for s in skills])).alias("item"),
     )
-    counted = marked.filter(F.col("kind") == ITEM).select(group, "item", "n")
+    counted = _used(marked).select(group, "item", F.col("uses").alias("n"))
     n = F.coalesce("n", F.lit(0))
     return same_keys(groups, counted, [group, "item"], "left").select(
         group,
@@ -147,6 +152,5 @@ def frequent_items(df: DataFrame, items: Column, threshold: float) -> DataFrame:
     """Items on at least ``threshold`` of the rows. At most ``mean list length /
     threshold`` items can qualify, however large the data."""
     marked = marked_counts(df, [], items)
-    return marked.filter(
-        (F.col("kind") == ITEM) & (F.col("n") >= threshold * _total(marked))
-    ).select("item", F.col("n").alias("postings"))
+    n = F.col("uses")
+    return _used(marked).filter(n >= threshold * _total(marked)).select("item", n.alias("postings"))

@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobstrata.functions.cells import share
+from jobstrata.operators.items import with_marker
 from jobstrata.operators.joins import same_keys
 from jobstrata.operators.quantiles import (
-    _bucket,
-    median_value,
-    medians,
+    bucket_of,
     quantiles,
     quantiles_of_counts,
     value_counts,
@@ -19,14 +18,22 @@ from jobstrata.operators.quantiles import (
 
 
 def numeric_summary(df: DataFrame, col: Column, digits: int = 4) -> DataFrame:
-    """One row: usable rows, their share, min, median, mean, max."""
-    return df.agg(
-        F.count(col).alias("n"),
-        share(F.count(col), F.count("*"), digits).alias("share"),
-        F.min(col).alias("minimum"),
-        F.avg(col).alias("mean"),
-        F.max(col).alias("maximum"),
-    ).withColumn("median", median_value(df, col))
+    """One row: usable rows, their share, min, median, mean, max.
+
+    All of it comes from one table of value counts, so the rows are read once.
+    """
+    counted = value_counts(df, [], {"x": col, "rows": F.lit(0)})
+    stated, c = F.col("measure") == "x", F.col("c")
+    x = F.when(stated, F.col("x"))
+    n = F.sum(F.when(stated, c))
+    median = quantiles_of_counts(counted, ["measure"], [0.5])
+    return counted.agg(
+        F.coalesce(n, F.lit(0)).alias("n"),
+        share(F.coalesce(n, F.lit(0)), F.sum(F.when(~stated, c)), digits).alias("share"),
+        F.min(x).alias("minimum"),
+        F.try_divide(F.sum(x * c), n).alias("mean"),
+        F.max(x).alias("maximum"),
+    ).withColumn("median", median.agg(F.max(F.when(stated, F.col("quantile")))).scalar())
 
 
 def numeric_center(df: DataFrame, col: Column) -> DataFrame:
@@ -89,29 +96,41 @@ def role_comparison(
     Pay and experience count only the postings that state them. ``overall`` adds
     a row with a null role for all postings together.
     """
-    rows = df.select(
-        F.col(role).alias("role"), pay.alias("pay"), years.alias("years"), flexible.alias("flexible")
-    )
-    grouped = rows.rollup("role") if overall else rows.groupBy("role")
-    counts = grouped.agg(
-        F.count("*").alias("postings"),
-        F.count("pay").alias("paid"),
-        F.count("years").alias("with_years"),
-        share(F.count_if(F.col("years") <= entry_years), F.count("years"), digits).alias(
-            "entry_share"
-        ),
-        share(F.count_if("flexible"), F.count("*"), digits).alias("flexible_share"),
-        (F.grouping("role") if overall else F.lit(0)).cast("int").alias("is_total"),
-    )
-    values = {"median_pay": F.col("pay"), "median_years": F.col("years")}
-    middle = medians(rows, ["role"], values).withColumn("is_total", F.lit(0))
+    counted = value_counts(
+        df.withColumn("role", F.col(role)),
+        ["role"],
+        {
+            "pay": pay,
+            "years": years,
+            "flexible": F.coalesce(flexible, F.lit(False)).cast("double"),
+        },
+    ).withColumn("is_total", F.lit(0))
     if overall:
-        middle = middle.unionByName(
-            medians(rows, [], values).withColumns(
-                {"role": F.lit(None).cast("string"), "is_total": F.lit(1)}
-            )
+        together = counted.groupBy("measure", "bucket", "x").agg(F.sum("c").alias("c"))
+        counted = counted.unionByName(
+            together.withColumns({"role": F.lit(None).cast("string"), "is_total": F.lit(1)})
         )
-    return same_keys(counts, middle, ["role", "is_total"], "left")
+    keys, c, x = ["role", "is_total"], F.col("c"), F.col("x")
+
+    def total(measure: str, only: Column | None = None) -> Column:
+        wanted = F.col("measure") == measure
+        wanted = wanted if only is None else wanted & only
+        return F.coalesce(F.sum(F.when(wanted, c)), F.lit(0))
+
+    counts = counted.groupBy(*keys).agg(
+        total("flexible").alias("postings"),
+        total("pay").alias("paid"),
+        total("years").alias("with_years"),
+        share(total("years", x <= entry_years), total("years"), digits).alias("entry_share"),
+        share(total("flexible", x == 1), total("flexible"), digits).alias("flexible_share"),
+    )
+    middle = quantiles_of_counts(counted, [*keys, "measure"], [0.5]).groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("measure") == m, F.col("quantile"))).alias(f"median_{m}")
+            for m in ("pay", "years")
+        ]
+    )
+    return same_keys(counts, middle, keys, "left")
 
 
 def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
@@ -124,14 +143,15 @@ def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
     paid = df.select(F.col(items).alias("items"), F.col(value).cast("double").alias("x")).filter(
         F.col("x").isNotNull()
     )
-    kinds = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("items"))
+    is_marker = F.col("item").isNull()
     counted = (
-        paid.select("x", F.explode(kinds).alias("item"))
-        .groupBy(_bucket(F.col("x")).alias("bucket"), "x", "item")
-        .agg(F.count("*").alias("c"))
+        paid.select("x", F.explode(with_marker(F.col("items"))).alias("item"))
+        .groupBy(bucket_of(F.col("x")).alias("bucket"), "x", "item")
+        .agg(F.count_if(is_marker).alias("rows"), F.count_if(~is_marker).alias("c"))
     )
-    everyone = counted.filter(F.col("item").isNull())
-    having = counted.filter(F.col("item").isNotNull())
+    cells = ["bucket", "x", "item"]
+    everyone = counted.filter(F.col("rows") > 0).select(*cells, F.col("rows").alias("c"))
+    having = counted.filter(F.col("c") > 0).select(*cells, "c")
     wanted = having.agg(F.collect_set("item")).scalar()
     all_for_each = everyone.withColumn("item", F.explode(wanted))
     without = (
@@ -153,14 +173,19 @@ def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
 def composition(df: DataFrame, items: str, flag: Column, digits: int = 4) -> DataFrame:
     """``item, postings, share, overall``: how often a flag (a role, say) holds among
     the postings that list an item, beside how often it holds overall."""
-    kinds = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct(items))
+    marked = with_marker(F.col(items))
     counted = (
-        df.select(F.coalesce(flag, F.lit(False)).alias("flag"), F.explode(kinds).alias("item"))
+        df.select(F.coalesce(flag, F.lit(False)).alias("flag"), F.explode(marked).alias("item"))
         .groupBy("item")
         .agg(
+            F.count_if(F.col("item").isNull()).alias("rows"),
             F.count("*").alias("postings"),
             share(F.count_if("flag"), F.count("*"), digits).alias("share"),
         )
     )
-    overall = counted.filter(F.col("item").isNull()).select("share").scalar()
-    return counted.filter(F.col("item").isNotNull()).withColumn("overall", overall)
+    overall = counted.agg(F.max(F.when(F.col("rows") > 0, F.col("share")))).scalar()
+    return (
+        counted.filter(F.col("rows") == 0)
+        .select("item", "postings", "share")
+        .withColumn("overall", overall)
+    )

@@ -19,7 +19,8 @@ from jobstrata.operators.joins import same_keys
 BUCKETS_PER_LOG_UNIT = 1000
 
 
-def _bucket(x: Column) -> Column:
+def bucket_of(x: Column) -> Column:
+    """Number of the fixed bucket holding a value; grows with the value."""
     return F.floor(F.signum(x) * F.log1p(F.abs(x)) * BUCKETS_PER_LOG_UNIT)
 
 
@@ -34,7 +35,7 @@ def value_counts(df: DataFrame, by: Sequence[str], values: Mapping[str, Column])
     return (
         df.select(*by, F.inline(cells))
         .filter(F.col("x").isNotNull())
-        .groupBy(*by, "measure", _bucket(F.col("x")).alias("bucket"), "x")
+        .groupBy(*by, "measure", bucket_of(F.col("x")).alias("bucket"), "x")
         .agg(F.count("*").alias("c"))
     )
 
