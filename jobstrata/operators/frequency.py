@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobstrata.functions.cells import band, share
-from jobstrata.operators.joins import same_keys
+from jobstrata.operators.joins import keep_together, same_keys
 
 
 def label_counts(df: DataFrame, col: Column, stated: Column | None = None) -> DataFrame:
     """``value, n, denom``: rows per label, and how many of them count in the denominator."""
     denom = F.count("*") if stated is None else F.count_if(stated)
-    return (
+    counted = (
         df.withColumn("value", col)
         .groupBy("value")
         .agg(F.count("*").alias("n"), denom.alias("denom"))
     )
+    return keep_together(counted, "n", "denom")
 
 
 def frequency(
@@ -77,9 +78,8 @@ def cumulative_share(df: DataFrame, col: Column, k: int, digits: int = 4) -> Dat
 
 def level_table(df: DataFrame, levels: Sequence[str]) -> DataFrame:
     """The fixed levels as a table with their position."""
-    return df.sparkSession.createDataFrame(
-        list(enumerate(levels)), "pos int, value string"
-    )
+    listed = F.posexplode(F.array(*[F.lit(level) for level in levels]))
+    return df.sparkSession.range(1).select(listed.alias("pos", "value"))
 
 
 def complete(counts: DataFrame, levels: Sequence[str], fill: Sequence[str]) -> DataFrame:
@@ -91,7 +91,7 @@ def complete(counts: DataFrame, levels: Sequence[str], fill: Sequence[str]) -> D
     """
     fixed = level_table(counts, levels)
     listed = same_keys(counts, F.broadcast(fixed.select("value")), ["value"])
-    return fixed.join(F.broadcast(listed), "value", "left").fillna(0, subset=list(fill))
+    return same_keys(fixed, F.broadcast(listed), ["value"], "left").fillna(0, subset=list(fill))
 
 
 def side_by_side(

@@ -16,6 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobstrata.functions.cells import any_of, share
+from jobstrata.operators.joins import keep_together
 
 
 def code_is(col: Column, code: str) -> Column:
@@ -75,7 +76,8 @@ class Funnel:
             return rows.agg(*measures)
 
         day = F.when(inside, self.date).alias("day")
-        daily = rows.groupBy(day).agg(*measures)
+        names = ["raw", *[n for n, _ in self.steps], *self.compared, *self.in_panel]
+        daily = keep_together(rows.groupBy(day).agg(*measures), *names)
         last = self.steps[-1][0]
         latest = daily.agg(F.max("day"))
         dated = daily.withColumn("latest", latest.scalar())

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobstrata.functions.cells import share
 from jobstrata.operators.frequency import level_table
-from jobstrata.operators.joins import same_keys
+from jobstrata.operators.joins import keep_together, same_keys
 
 
 def item_counts(df: DataFrame, items: Column) -> DataFrame:
@@ -29,7 +29,7 @@ def item_counts(df: DataFrame, items: Column) -> DataFrame:
 
 def with_marker(items: Column) -> Column:
     """The distinct items of a list after one null that stands for the posting itself."""
-    listed = F.array_compact(F.array_distinct(items))
+    listed = F.filter(F.array_distinct(items), lambda i: i.isNotNull())
     marker = F.array(F.lit(None).cast("string"))
     return F.coalesce(F.concat(marker, listed), marker)
 
@@ -38,7 +38,7 @@ def marked_counts(df: DataFrame, by: Sequence[str], items: Column) -> DataFrame:
     """``by, item, uses, postings, with_items``; the null item's row holds the
     group's postings and how many of them list anything, the others their uses."""
     is_marker = F.col("item").isNull()
-    return (
+    counted = (
         df.select(*by, (F.size(items) > 0).alias("listed"), F.explode(with_marker(items)).alias("item"))
         .groupBy(*by, "item")
         .agg(
@@ -47,6 +47,7 @@ def marked_counts(df: DataFrame, by: Sequence[str], items: Column) -> DataFrame:
             F.count_if(is_marker & F.col("listed")).alias("with_items"),
         )
     )
+    return keep_together(counted, "uses", "postings", "with_items")
 
 
 def _used(marked: DataFrame) -> DataFrame:

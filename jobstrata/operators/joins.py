@@ -11,6 +11,16 @@ from pyspark.sql import DataFrame, functions as F
 HOT_SHARE = 1000
 
 
+def keep_together(counted: DataFrame, *counts: str) -> DataFrame:
+    """Keep all of these counts in every branch that reads the table.
+
+    Spark drops aggregates a branch does not use, and branches that keep
+    different ones no longer share their scan and shuffle. A condition that
+    always holds but names them all prevents that.
+    """
+    return counted.filter(reduce(and_, [F.col(c) >= 0 for c in counts]))
+
+
 def same_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobstrata.functions.cells import share
 from jobstrata.operators.items import with_marker
-from jobstrata.operators.joins import same_keys
+from jobstrata.operators.joins import keep_together, same_keys
 from jobstrata.operators.quantiles import (
     bucket_of,
     quantiles,
@@ -149,6 +149,7 @@ def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
         .groupBy(bucket_of(F.col("x")).alias("bucket"), "x", "item")
         .agg(F.count_if(is_marker).alias("rows"), F.count_if(~is_marker).alias("c"))
     )
+    counted = keep_together(counted, "rows", "c")
     cells = ["bucket", "x", "item"]
     everyone = counted.filter(F.col("rows") > 0).select(*cells, F.col("rows").alias("c"))
     having = counted.filter(F.col("c") > 0).select(*cells, "c")
@@ -180,12 +181,15 @@ def composition(df: DataFrame, items: str, flag: Column, digits: int = 4) -> Dat
         .agg(
             F.count_if(F.col("item").isNull()).alias("rows"),
             F.count("*").alias("postings"),
-            share(F.count_if("flag"), F.count("*"), digits).alias("share"),
+            F.count_if("flag").alias("flagged"),
         )
     )
-    overall = counted.agg(F.max(F.when(F.col("rows") > 0, F.col("share")))).scalar()
+    shares = keep_together(counted, "rows", "postings", "flagged").withColumn(
+        "share", share(F.col("flagged"), F.col("postings"), digits)
+    )
+    overall = shares.agg(F.max(F.when(F.col("rows") > 0, F.col("share")))).scalar()
     return (
-        counted.filter(F.col("rows") == 0)
+        shares.filter(F.col("rows") == 0)
         .select("item", "postings", "share")
         .withColumn("overall", overall)
     )
