@@ -1 +1,60 @@
-"""TODO"""
+"""Fitted classifiers. No SQL follows a fit, so these are checked by their quality in tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from jobstrata.catalog.features import labelled_sales
+from jobstrata.catalog.registry import query
+from jobstrata.operators.evaluate import confusion
+from jobstrata.operators.features import collapse_levels
+from jobstrata.plans.paymodel import (
+    FeatureTable,
+    PayModels,
+    coefficient_table,
+    compare_models,
+    feature_table,
+)
+from jobstrata.presets import postings as preset
+
+TREES, DEPTH = 20, 6
+
+
+def _table(spark: SparkSession, sf_dir: str) -> FeatureTable:
+    sample = labelled_sales(spark, sf_dir)
+    nation = collapse_levels(
+        sample, "n_name", preset.TOP_STATES, "NATION_0", preset.OTHER_STATE
+    )
+    blocks = {
+        "role": F.col("c_mktsegment"),
+        "remote": F.col("o_orderpriority"),
+        "state": nation,
+        "year": F.year("day").cast("string"),
+    }
+    return feature_table(sample, "o_orderkey", blocks)
+
+
+def _models(spark: SparkSession, sf_dir: str) -> PayModels:
+    return compare_models(_table(spark, sf_dir), trees=TREES, depth=DEPTH)
+
+
+@query()
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir)
+    return table.rows.select("o_orderkey", "label", "is_test", "fold")
+
+
+@query()
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _models(spark, sf_dir).scores
+
+
+@query()
+def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coefficient_table(_models(spark, sf_dir))
+
+
+@query()
+def logistic_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = _models(spark, sf_dir)
+    return confusion(models.predictions(models.logistic))
