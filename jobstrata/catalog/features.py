@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobstrata.catalog.gaps import half_up
 from jobstrata.catalog.inputs import SALES_SQL, SKILLS, VISITS_SQL, sales, visits
 from jobstrata.catalog.registry import query
-from jobstrata.operators.evaluate import binary_metrics, confusion, majority
+from jobstrata.operators.evaluate import binary_metrics, confusion
 from jobstrata.operators.features import (
     class_balance,
     collapse_levels,
@@ -17,7 +17,13 @@ from jobstrata.operators.features import (
     one_hot,
     stratified_split,
 )
-from jobstrata.plans.paymodel import best_model, model_scores, rank_disagreement, strongest
+from jobstrata.plans.paymodel import (
+    best_model,
+    majority_predictions,
+    model_scores,
+    rank_disagreement,
+    strongest,
+)
 from jobstrata.presets import postings as preset
 
 _LABEL_SQL = f"""{SALES_SQL}, stated AS (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS pay FROM sales),
@@ -175,21 +181,9 @@ scores AS (SELECT 'Majority-class baseline' AS model, CAST(0 AS INT) AS features
 )
 def majority_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The baseline under cross-validation and on the test set."""
-    rows = split_sales(spark, sf_dir)
-    training = rows.filter("not is_test")
-    parts = [
-        rows.filter(F.col("is_test") if fold < 0 else F.col("fold") == fold).select(
-            F.lit("Majority-class baseline").alias("model"),
-            F.lit(0).alias("features"),
-            F.lit(fold).alias("fold"),
-            "label",
-            majority(training.filter(F.col("fold") != fold), "label").alias("prediction"),
-        )
-        for fold in range(-1, preset.FOLDS)
-    ]
-    predictions = parts[0]
-    for part in parts[1:]:
-        predictions = predictions.unionByName(part)
+    predictions = majority_predictions(split_sales(spark, sf_dir)).withColumns(
+        {"model": F.lit("Majority-class baseline"), "features": F.lit(0)}
+    )
     return model_scores(predictions).withColumns(
         {c: F.round(c, 6) for c in ("test_error", "drop_in_errors")}
     )

@@ -190,14 +190,13 @@ TOKENS_SQL = """tokens AS (SELECT doc_id, lang, source, n_chars,
 
 
 def token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, lang, source, n_chars, items``."""
-    words = F.split(F.lower("text"), "[^a-z]+")
+    """``doc_id, lang, source, n_chars, items``; an item may be listed more than once."""
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         "lang",
         "source",
         "n_chars",
-        F.array_distinct(F.filter(words, lambda w: w != "")).alias("items"),
+        F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("items"),
     )
 
 

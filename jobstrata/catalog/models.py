@@ -10,10 +10,10 @@ from jobstrata.operators.evaluate import confusion
 from jobstrata.operators.features import collapse_levels
 from jobstrata.plans.paymodel import (
     FeatureTable,
-    PayModels,
     coefficient_table,
     compare_models,
     feature_table,
+    fit_full,
 )
 from jobstrata.presets import postings as preset
 
@@ -34,10 +34,6 @@ def _table(spark: SparkSession, sf_dir: str) -> FeatureTable:
     return feature_table(sample, "o_orderkey", blocks)
 
 
-def _models(spark: SparkSession, sf_dir: str) -> PayModels:
-    return compare_models(_table(spark, sf_dir), trees=TREES, depth=DEPTH)
-
-
 @query()
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir)
@@ -46,15 +42,18 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _models(spark, sf_dir).scores
+    return compare_models(_table(spark, sf_dir), trees=TREES, depth=DEPTH)
 
 
 @query()
 def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coefficient_table(_models(spark, sf_dir))
+    table = _table(spark, sf_dir)
+    return coefficient_table(
+        table, fit_full(table, "logistic"), fit_full(table, "forest", TREES, DEPTH)
+    )
 
 
 @query()
 def logistic_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = _models(spark, sf_dir)
-    return confusion(models.predictions(models.logistic))
+    table = _table(spark, sf_dir)
+    return confusion(fit_full(table, "logistic").transform(table.rows.filter("is_test")))

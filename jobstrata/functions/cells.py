@@ -16,6 +16,17 @@ def any_of(patterns: Sequence[str]) -> str:
     return "(?i)" + "|".join(patterns)
 
 
+def first_of(names: Sequence[str]) -> str:
+    """A regex whose group 1 is the leftmost of the plain names in a text, the earlier
+    listed one where two start at the same place. Grouping them by first letter lets
+    the search skip every position that none of them can start at."""
+    by_initial: dict[str, list[str]] = {}
+    for name in names:
+        by_initial.setdefault(name[0], []).append(name[1:])
+    branches = [f"{initial}(?:{'|'.join(rest)})" for initial, rest in by_initial.items()]
+    return f"(?=[{''.join(by_initial)}])({'|'.join(branches)})"
+
+
 def filled(col: Column) -> Column:
     """True when the text holds more than blanks; null and blank are False."""
     return F.coalesce(F.trim(col.cast("string")) != "", F.lit(False))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from jobstrata.functions.cells import filled, relabel
+from jobstrata.functions.cells import filled, first_of, relabel
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ def state_of(text: Column, state: Column, state_name: Column, rules: PlaceRules)
     )
     return F.coalesce(
         F.when(text.rlike(rules.capital_pattern), fixed(rules.capital_label)),
-        F.get(F.transform(found("(" + "|".join(names) + ")"), full), F.lit(0)),
+        F.get(F.transform(found(first_of(names)), full), F.lit(0)),
         F.get(by_code, F.lit(0)),
         by_state,
         by_state_name,

@@ -4,14 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobstrata.operators.frequency import label_counts
-
-
-def majority(df: DataFrame, label: str) -> Column:
-    """The most common label as a scalar, the smallest of ties."""
-    counted = label_counts(df, F.col(label))
-    return counted.orderBy(F.desc("n"), F.asc("value")).limit(1).select("value").scalar()
-
 
 def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))

@@ -29,9 +29,8 @@ def item_counts(df: DataFrame, items: Column) -> DataFrame:
 
 def with_marker(items: Column) -> Column:
     """The distinct items of a list after one null that stands for the posting itself."""
-    listed = F.filter(F.array_distinct(items), lambda i: i.isNotNull())
     marker = F.array(F.lit(None).cast("string"))
-    return F.coalesce(F.concat(marker, listed), marker)
+    return F.coalesce(F.concat(marker, F.array_except(items, marker)), marker)
 
 
 def marked_counts(df: DataFrame, by: Sequence[str], items: Column) -> DataFrame:

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
@@ -17,7 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobstrata.functions.cells import or_label
-from jobstrata.operators.evaluate import accuracy_error, binary_metrics, majority
+from jobstrata.operators.evaluate import accuracy_error, binary_metrics
 from jobstrata.operators.features import (
     collapse_levels,
     item_indicators,
@@ -113,92 +116,116 @@ def fit_forest(
     ).fit(train)
 
 
-def _scored(model: Model | None, rows: DataFrame, constant: Column | None = None) -> DataFrame:
-    if model is None:
-        return rows.select("label", constant.cast("double").alias("prediction"))
-    return model.transform(rows).select("label", "prediction")
+def training_set(table: FeatureTable) -> DataFrame:
+    return table.rows.filter("not is_test")
 
 
-@dataclass(frozen=True)
-class PayModels:
-    """Scores of every specification, and the two full models fitted on the training set."""
+def fit_full(
+    table: FeatureTable, kind: str, trees: int = preset.FOREST_TREES, depth: int = 30
+) -> Model:
+    """One model on the whole training set; ``kind`` is ``logistic`` or ``forest``."""
+    train = training_set(table)
+    return fit_logistic(train, train.count()) if kind == "logistic" else fit_forest(
+        train, trees, depth
+    )
 
-    scores: DataFrame
-    logistic: Model
-    forest: Model
-    table: FeatureTable
 
-    def predictions(self, model: Model) -> DataFrame:
-        return _scored(model, self.table.rows.filter("is_test"))
+def _round_of(rows: DataFrame) -> DataFrame:
+    """Add ``round``: the fold that scores the row, -1 for the test set."""
+    return rows.withColumn("round", F.when(F.col("is_test"), F.lit(-1)).otherwise(F.col("fold")))
 
 
-def compare_models(
+def majority_predictions(rows: DataFrame, folds: int = preset.FOLDS) -> DataFrame:
+    """``fold, label, prediction``: each row scored with the most common label of the
+    training rows outside its own fold (of all of them for the test set)."""
+    counts = rows.filter("not is_test").groupBy("fold", "label").agg(F.count("*").alias("n"))
+    every = F.array(*[F.lit(f) for f in range(-1, folds)])
+    constants = (
+        counts.withColumn("round", F.explode(every))
+        .filter(F.col("round") != F.col("fold"))
+        .groupBy("round", "label")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("round")
+        .agg(F.min(F.struct((-F.col("n")).alias("neg"), "label"))["label"].alias("prediction"))
+    )
+    return (
+        _round_of(rows)
+        .join(F.broadcast(constants), "round")
+        .select(F.col("round").alias("fold"), "label", F.col("prediction").cast("double"))
+    )
+
+
+def fitted_predictions(
     table: FeatureTable,
-    role_prefix: str = "role: ",
+    kind: str,
     trees: int = preset.FOREST_TREES,
     depth: int = 30,
     folds: int = preset.FOLDS,
-    seed: int = preset.SEED,
-) -> PayModels:
-    """Fit the majority baseline, role-only and full logistic, and the forest.
+    parallelism: int = 2,
+) -> tuple[DataFrame, Model]:
+    """The same for a fitted model, with the model of the whole training set.
 
-    Each is cross-validated inside the training set and scored once on the test
-    set. ``scores`` has one row per model: fold mean and population deviation of
-    accuracy, test metrics, the test accuracy's standard error, and the drop
-    from cross-validation to test in standard errors.
+    Every round is a set of distributed jobs over the checkpointed features; a
+    few rounds at a time keep the cluster busy while one waits for its driver.
     """
-    roles = table.only(role_prefix)
-    roles = FeatureTable(checkpointed(roles.rows), roles.names)
-    specs = [
-        ("Majority-class baseline", table, "majority"),
-        ("Logistic, role family only", roles, "logistic"),
-        ("Logistic, all features", table, "logistic"),
-        ("Random forest, all features", table, "forest"),
-    ]
+    rows = _round_of(table.rows)
     sizes = {
         r["fold"]: r["n"]
-        for r in table.rows.filter("not is_test").groupBy("fold").agg(F.count("*").alias("n")).collect()
+        for r in training_set(table).groupBy("fold").agg(F.count("*").alias("n")).collect()
     }
     total = sum(sizes.values())
 
-    def fit(kind: str, train: DataFrame, n: int) -> Model | None:
-        if kind == "majority":
-            return None
+    def one_round(held_out: int) -> Model:
+        train = rows.filter((F.col("round") >= 0) & (F.col("round") != held_out))
         if kind == "logistic":
-            return fit_logistic(train, n)
-        return fit_forest(train, trees, depth, seed)
-
-    scored, full = [], {}
-    for name, source, kind in specs:
-        training = source.rows.filter("not is_test")
-        rounds = [
-            (f, training.filter(F.col("fold") != f), training.filter(F.col("fold") == f))
-            for f in range(folds)
-        ] + [(-1, training, source.rows.filter("is_test"))]
-        for fold, train, held_out in rounds:
-            model = fit(kind, train, total - sizes.get(fold, 0))
-            constant = majority(train, "label") if model is None else None
-            scored.append(
-                _scored(model, held_out, constant).select(
-                    F.lit(name).alias("model"),
-                    F.lit(len(source.names)).alias("features"),
-                    F.lit(fold).alias("fold"),
-                    "label",
-                    "prediction",
-                )
-            )
-            if fold == -1:
-                full[name] = model
-
-    predictions = scored[0]
-    for more in scored[1:]:
-        predictions = predictions.unionByName(more)
-    return PayModels(
-        scores=model_scores(predictions),
-        logistic=full["Logistic, all features"],
-        forest=full["Random forest, all features"],
-        table=table,
-    )
+            return fit_logistic(train, total - sizes.get(held_out, 0))
+        return fit_forest(train, trees, depth)
+
+    rounds = range(-1, folds)
+    with ThreadPool(parallelism) as pool:
+        work = inheritable_thread_target(table.rows.sparkSession)(one_round)
+        models = pool.map(work, rounds)
+    scored = [
+        model.transform(rows.filter(F.col("round") == r)).select(
+            F.col("round").alias("fold"), "label", "prediction"
+        )
+        for r, model in zip(rounds, models)
+    ]
+    return reduce(DataFrame.unionByName, scored), models[0]
+
+
+def compare_models(
+    table: FeatureTable,
+    role_prefix: str = "role: ",
+    trees: int = preset.FOREST_TREES,
+    depth: int = 30,
+    folds: int = preset.FOLDS,
+    parallelism: int = 2,
+) -> DataFrame:
+    """Score the majority baseline, role-only and full logistic, and the forest.
+
+    Each is cross-validated inside the training set and scored once on the test
+    set. One row per model: fold mean and population deviation of accuracy, test
+    metrics, the test accuracy's standard error, and the drop from
+    cross-validation to test in standard errors.
+    """
+    roles = table.only(role_prefix)
+    fitted = {
+        "Logistic, role family only": (roles, "logistic"),
+        "Logistic, all features": (table, "logistic"),
+        "Random forest, all features": (table, "forest"),
+    }
+    predictions = {
+        "Majority-class baseline": (table, majority_predictions(table.rows, folds))
+    } | {
+        name: (source, fitted_predictions(source, kind, trees, depth, folds, parallelism)[0])
+        for name, (source, kind) in fitted.items()
+    }
+    labelled = [
+        rows.withColumns({"model": F.lit(name), "features": F.lit(len(source.names))})
+        for name, (source, rows) in predictions.items()
+    ]
+    return model_scores(reduce(DataFrame.unionByName, labelled))
 
 
 def model_scores(predictions: DataFrame, digits: int = 4) -> DataFrame:
@@ -231,27 +258,25 @@ def best_model(scores: DataFrame, metric: str = "test_accuracy") -> DataFrame:
     return scores.orderBy(F.desc(metric), F.desc("model")).limit(1)
 
 
-def coefficient_table(models: PayModels) -> DataFrame:
+def coefficient_table(table: FeatureTable, logistic: Model, forest: Model) -> DataFrame:
     """``feature, logistic_coefficient, forest_importance, absolute_coefficient`` and
     each feature's rank under either model, strongest coefficient first.
 
     Coefficients are on the standardised scale. The table has one row per feature.
     """
-    train = models.table.rows.filter("not is_test")
-    spread = train.agg(Summarizer.std(F.col("features")).alias("std")).first()["std"]
+    spread = training_set(table).agg(Summarizer.std(F.col("features")).alias("std"))
+    std = spread.first()["std"].toArray()
+    weights = logistic.coefficients.toArray() * std
     rows = [
-        (name, float(w * s), float(i))
-        for name, w, s, i in zip(
-            models.table.names,
-            models.logistic.coefficients.toArray(),
-            spread.toArray(),
-            models.forest.featureImportances.toArray(),
-        )
+        (name, float(w), float(i))
+        for name, w, i in zip(table.names, weights, forest.featureImportances.toArray())
     ]
-    table = models.table.rows.sparkSession.createDataFrame(
+    weighted = table.rows.sparkSession.createDataFrame(
         rows, "feature string, logistic_coefficient double, forest_importance double"
     ).withColumn("absolute_coefficient", F.abs("logistic_coefficient"))
-    return rank_disagreement(table).orderBy(F.desc("absolute_coefficient"), F.asc("feature"))
+    return rank_disagreement(weighted).orderBy(
+        F.desc("absolute_coefficient"), F.asc("feature")
+    )
 
 
 def rank_disagreement(table: DataFrame) -> DataFrame:
