@@ -171,7 +171,7 @@ def top_employers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def median_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     stated = F.when(_stated(), F.col("o_totalprice"))
-    return median_by_group(sales(spark, sf_dir), "n_name", stated, 400).withColumn(
+    return median_by_group(sales(spark, sf_dir), "n_name", stated, 400, few_groups=True).withColumn(
         "median", F.round("median", 4)
     )
 
@@ -288,7 +288,9 @@ def nation_against_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def median_by_arrangement(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").filter(_stated())
-    return median_by_group(orders, "o_orderpriority", F.col("o_totalprice"), 1).withColumn(
+    return median_by_group(
+        orders, "o_orderpriority", F.col("o_totalprice"), 1, few_groups=True
+    ).withColumn(
         "median", F.round("median", 4)
     )
 

@@ -47,10 +47,14 @@ def day(col: Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(col, fmt)
 
 
+def lookup(mapping: Mapping[str, object]) -> Column:
+    """A fixed mapping as a literal map; build it once and use it for several columns."""
+    return F.create_map(*[F.lit(part) for pair in mapping.items() for part in pair])
+
+
 def relabel(col: Column, mapping: Mapping[str, object], default: Column | None = None) -> Column:
     """Look a value up in a fixed mapping; a miss gives ``default``, else the value itself."""
-    table = F.create_map(*[F.lit(part) for pair in mapping.items() for part in pair])
-    return F.coalesce(table[col], col if default is None else default)
+    return F.coalesce(lookup(mapping)[col], col if default is None else default)
 
 
 def keep_labels(col: Column, keep: Sequence[str], other: str = "Other") -> Column:
@@ -59,8 +63,8 @@ def keep_labels(col: Column, keep: Sequence[str], other: str = "Other") -> Colum
 
 def canonical_label(col: Column, synonyms: Mapping[str, str], unknown: str) -> Column:
     """Null or blank to ``unknown``, known spellings (any case) merged, the rest as is."""
-    named = F.create_map(*[F.lit(part) for pair in synonyms.items() for part in pair])
-    return F.when(~filled(col), F.lit(unknown)).otherwise(F.coalesce(named[F.lower(col)], col))
+    named = F.coalesce(lookup(synonyms)[F.lower(col)], col)
+    return F.when(~filled(col), F.lit(unknown)).otherwise(named)
 
 
 def first_match(col: Column, rules: Sequence[tuple[str, str]], default: str) -> Column:

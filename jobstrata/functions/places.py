@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from jobstrata.functions.cells import filled, first_of, relabel
+from jobstrata.functions.cells import filled, first_of, lookup
 
 
 @dataclass(frozen=True)
@@ -31,9 +31,10 @@ def state_of(text: Column, state: Column, state_name: Column, rules: PlaceRules)
     it is searched for once, not once to test and again to extract.
     """
     names, codes = list(rules.names), list(rules.codes)
+    named = lookup(rules.codes)
 
     def full(label: Column) -> Column:
-        return relabel(F.upper(label), rules.codes, label)
+        return F.coalesce(named[F.upper(label)], label)
 
     def fixed(label: str) -> Column:
         return F.lit(rules.codes.get(label.upper(), label))

@@ -48,10 +48,14 @@ def targets(demand: DataFrame, tiers: Sequence[tuple[float, int]], base: int) ->
 
 
 def gaps(ratings: DataFrame, with_targets: DataFrame) -> DataFrame:
-    """``candidate, skill, rating, share, target, gap``; unrated skills give no row."""
+    """``candidate, skill, rating, share, target, gap``; unrated skills give no row.
+
+    Targets have one row per skill of the rated list they were made from, so they
+    are broadcast; candidates may be any number.
+    """
     return (
         ratings.filter(F.col("rating").isNotNull())
-        .join(with_targets.select("skill", "share", "target"), "skill")
+        .join(F.broadcast(with_targets.select("skill", "share", "target")), "skill")
         .withColumn("gap", F.greatest(F.col("target") - F.col("rating"), F.lit(0)))
     )
 

@@ -54,10 +54,12 @@ def quantile_table(
     return quantiles(df, [], values, probs)
 
 
-def median_by_group(df: DataFrame, group: str, value: Column, min_n: int = 10) -> DataFrame:
+def median_by_group(
+    df: DataFrame, group: str, value: Column, min_n: int = 10, few_groups: bool = False
+) -> DataFrame:
     """``group, n, median`` of the groups that state at least ``min_n`` values."""
     return (
-        quantiles(df, [group], {"x": value}, [0.5])
+        quantiles(df, [group], {"x": value}, [0.5], few_groups)
         .filter(F.col("n") >= min_n)
         .select(group, "n", F.col("quantile").alias("median"))
     )

@@ -1,11 +1,15 @@
 """Exact quantiles that never hold a group in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here
-equal values are counted first (combined on the map side, spread by value, so a
-hot group or a hot value stays cheap). Values fall into fixed, ordered buckets
-about a thousandth wide in relative terms. A running total over the buckets of
-a group, a small table, tells which bucket holds the wanted rank, and only that
-bucket's values are ordered.
+values fall into fixed, ordered buckets about a thousandth wide in relative
+terms. A running total over the buckets of a group, a small table, tells which
+bucket holds the wanted rank, and only that bucket's values are ordered.
+
+There are two ways to get there. Counting equal values first reads the rows once
+and suits values that repeat (pay in whole dollars, years); counts combine on
+the map side and spread by value, so a hot group or a hot value stays cheap.
+Where the groups are few, counting buckets alone shuffles next to nothing, and a
+second read picks up the values of the wanted buckets.
 """
 
 from __future__ import annotations
@@ -24,8 +28,8 @@ def bucket_of(x: Column) -> Column:
     return F.floor(F.signum(x) * F.log1p(F.abs(x)) * BUCKETS_PER_LOG_UNIT)
 
 
-def value_counts(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """``by, measure, bucket, x, c``: how often each stated value occurs."""
+def _long(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """``by, measure, x, bucket``: one row per stated value."""
     cells = F.array(
         *[
             F.struct(F.lit(name).alias("measure"), col.cast("double").alias("x"))
@@ -35,87 +39,118 @@ def value_counts(df: DataFrame, by: Sequence[str], values: Mapping[str, Column])
     return (
         df.select(*by, F.inline(cells))
         .filter(F.col("x").isNotNull())
-        .groupBy(*by, "measure", bucket_of(F.col("x")).alias("bucket"), "x")
+        .withColumn("bucket", bucket_of(F.col("x")))
+    )
+
+
+def value_counts(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """``by, measure, bucket, x, c``: how often each stated value occurs."""
+    return (
+        _long(df, by, values)
+        .groupBy(*by, "measure", "bucket", "x")
         .agg(F.count("*").alias("c"))
     )
 
 
-def quantiles_of_counts(
-    counted: DataFrame, keys: Sequence[str], probs: Sequence[float]
-) -> DataFrame:
-    """``keys, prob, quantile, n`` from a ``keys, bucket, x, c`` table, interpolated."""
+def _ranks(probs: Sequence[float]) -> Column:
+    """For ``n`` values, the one or two ranks each probability falls on and their weights."""
+
+    def ranks(p: float) -> Column:
+        at = p * (F.col("n") - 1)
+        low, rest = F.floor(at), at - F.floor(at)
+        prob = F.lit(p).alias("prob")
+        return F.array(
+            F.struct(prob, low.alias("rank"), (1 - rest).alias("weight")),
+            F.struct(prob, (low + 1).alias("rank"), rest.alias("weight")),
+        )
+
+    return F.flatten(F.array(*[ranks(p) for p in probs]))
+
+
+def _wanted(buckets: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``keys, bucket, n, before, wanted``: the buckets that hold a wanted rank, from a
+    ``keys, bucket, c`` table; at most two per group and probability."""
     ordered = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
     before = F.col("upto") - F.col("c")
-    ranks = F.flatten(
-        F.array(
-            *[
-                F.array(
-                    F.struct(
-                        F.lit(p).alias("prob"),
-                        F.floor(p * (F.col("n") - 1)).alias("rank"),
-                        (1 - (p * (F.col("n") - 1) - F.floor(p * (F.col("n") - 1)))).alias("weight"),
-                    ),
-                    F.struct(
-                        F.lit(p).alias("prob"),
-                        (F.floor(p * (F.col("n") - 1)) + 1).alias("rank"),
-                        (p * (F.col("n") - 1) - F.floor(p * (F.col("n") - 1))).alias("weight"),
-                    ),
-                )
-                for p in probs
-            ]
-        )
+    held = F.filter(
+        _ranks(probs),
+        lambda r: (r["weight"] > 0) & (r["rank"] >= before) & (r["rank"] < F.col("upto")),
     )
-    wanted = (
-        counted.groupBy(*keys, "bucket")
-        .agg(F.sum("c").alias("c"))
-        .withColumns({"upto": F.sum("c").over(ordered), "n": F.sum("c").over(whole)})
-        .select(
-            *keys,
-            "bucket",
-            "n",
-            before.alias("before"),
-            F.filter(
-                ranks,
-                lambda r: (r["weight"] > 0)
-                & (r["rank"] >= F.col("upto") - F.col("c"))
-                & (r["rank"] < F.col("upto")),
-            ).alias("wanted"),
+    return (
+        buckets.withColumns(
+            {
+                "upto": F.sum("c").over(ordered),
+                "n": F.sum("c").over(Window.partitionBy(*keys)),
+            }
         )
+        .select(*keys, "bucket", "n", before.alias("before"), held.alias("wanted"))
         .filter(F.size("wanted") > 0)
     )
+
+
+def _read_off(held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, prob, quantile, n`` from the value counts of the wanted buckets."""
     in_bucket = (
         Window.partitionBy(*keys, "bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     )
     last = F.col("before") + F.col("upto")
+    hits = F.filter("wanted", lambda r: (r["rank"] >= last - F.col("c")) & (r["rank"] < last))
     return (
-        same_keys(counted, wanted, [*keys, "bucket"])
-        .withColumn("upto", F.sum("c").over(in_bucket))
-        .select(
-            *keys,
-            "x",
-            "n",
-            F.explode(
-                F.filter(
-                    "wanted", lambda r: (r["rank"] >= last - F.col("c")) & (r["rank"] < last)
-                )
-            ).alias("hit"),
-        )
+        held.withColumn("upto", F.sum("c").over(in_bucket))
+        .select(*keys, "x", "n", F.explode(hits).alias("hit"))
         .groupBy(*keys, F.col("hit.prob").alias("prob"))
         .agg(F.sum(F.col("hit.weight") * F.col("x")).alias("quantile"), F.max("n").alias("n"))
     )
 
 
-def quantiles(
+def quantiles_of_counts(
+    counted: DataFrame, keys: Sequence[str], probs: Sequence[float]
+) -> DataFrame:
+    """``keys, prob, quantile, n`` from a ``keys, bucket, x, c`` table, interpolated."""
+    buckets = counted.groupBy(*keys, "bucket").agg(F.sum("c").alias("c"))
+    held = same_keys(counted, _wanted(buckets, keys, probs), [*keys, "bucket"])
+    return _read_off(held, keys)
+
+
+def _quantiles_of_few(
     df: DataFrame, by: Sequence[str], values: Mapping[str, Column], probs: Sequence[float]
 ) -> DataFrame:
-    """``by, measure, prob, quantile, n`` over the stated values of each measure."""
+    keys = [*by, "measure"]
+    rows = _long(df, by, values)
+    wanted = _wanted(
+        rows.groupBy(*keys, "bucket").agg(F.count("*").alias("c")), keys, probs
+    )
+    # Two buckets per group, measure and probability at most.
+    held = (
+        same_keys(rows, F.broadcast(wanted), [*keys, "bucket"])
+        .groupBy(*keys, "bucket", "x")
+        .agg(*[F.first(c).alias(c) for c in ("n", "before", "wanted")], F.count("*").alias("c"))
+    )
+    return _read_off(held, keys)
+
+
+def quantiles(
+    df: DataFrame,
+    by: Sequence[str],
+    values: Mapping[str, Column],
+    probs: Sequence[float],
+    few_groups: bool = False,
+) -> DataFrame:
+    """``by, measure, prob, quantile, n`` over the stated values of each measure.
+
+    ``few_groups`` promises that ``by`` has a closed domain of labels, whose wanted
+    buckets can be broadcast. Without any ``by`` that holds by itself.
+    """
+    if few_groups or not by:
+        return _quantiles_of_few(df, by, values, probs)
     return quantiles_of_counts(value_counts(df, by, values), [*by, "measure"], probs)
 
 
-def medians(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+def medians(
+    df: DataFrame, by: Sequence[str], values: Mapping[str, Column], few_groups: bool = False
+) -> DataFrame:
     """One row per group that states any value: a median column per measure."""
-    long = quantiles(df, by, values, [0.5])
+    long = quantiles(df, by, values, [0.5], few_groups)
     return long.groupBy(*by).agg(
         *[F.max(F.when(F.col("measure") == n, F.col("quantile"))).alias(n) for n in values]
     )

@@ -29,7 +29,7 @@ def hash_positions(df: DataFrame, by: str, key: str, seed: int, width: int = 4)
     )
     inside = Window.partitionBy(by, "_lead").orderBy("_hash", key)
     return (
-        same_keys(rows, offsets, [by, "_lead"])
+        same_keys(rows, F.broadcast(offsets), [by, "_lead"])
         .withColumn("position", F.col("_offset") + F.row_number().over(inside))
         .drop("_hash", "_lead", "_offset")
     )

@@ -42,9 +42,11 @@ def market_tables() -> dict[str, Callable[[DataFrame], DataFrame]]:
             panel, or_label(F.col("COMPANY_NAME"), preset.EMPLOYER_MISSING), 10
         ),
         "median_pay_by_segment": lambda panel: median_by_group(
-            panel.withColumn("segment", segment), "segment", pay
+            panel.withColumn("segment", segment), "segment", pay, few_groups=True
+        ),
+        "median_pay_by_arrangement": lambda panel: median_by_group(
+            panel, "REMOTE_TYPE_NAME", pay, min_n=1
         ),
-        "median_pay_by_arrangement": lambda panel: median_by_group(panel, "REMOTE_TYPE_NAME", pay, min_n=1),
         "experience_bands": lambda panel: banded(panel, years, preset.YEARS_EDGES, preset.YEARS_LABELS),
         "education_levels": lambda panel: side_by_side(
             panel,

@@ -32,8 +32,9 @@ def interpolated(values, p):
     return values[low] + (values[high] - values[low]) * (at - low)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_quantiles_match_brute_force(spark, seed):
+@pytest.mark.parametrize("few_groups", [False, True])
+@pytest.mark.parametrize("seed", range(2))
+def test_quantiles_match_brute_force(spark, seed, few_groups):
     rng = random.Random(seed)
     rows = []
     for _ in range(3000):
@@ -45,7 +46,7 @@ def test_quantiles_match_brute_force(spark, seed):
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = {
         (r["k"], r["prob"]): (r["quantile"], r["n"])
-        for r in quantiles(df, ["k"], {"x": F.col("x")}, probs).collect()
+        for r in quantiles(df, ["k"], {"x": F.col("x")}, probs, few_groups).collect()
     }
     for key in {k for k, _ in rows}:
         stated = [x for k, x in rows if k == key and x is not None]
