@@ -39,7 +39,7 @@ def filled_list(col: Column) -> Column:
 
 def number(col: Column) -> Column:
     """Text to double; blank and malformed text become null."""
-    return F.when(filled(col), col.cast("string").try_cast("double"))
+    return col.cast("string").try_cast("double")
 
 
 def day(col: Column, fmt: str = "yyyy-MM-dd") -> Column:

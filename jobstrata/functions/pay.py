@@ -36,11 +36,23 @@ def add_pay(
     so a row that states only an upper bound has no usable pay.
     """
     low_out, high_out, mid_out = out
-    factor = annual_factor(F.col(period), rules.factors)
-    low_annual = number(F.col(low)) * factor
-    high_annual = number(F.col(high)) * factor
-    usable = low_annual >= rules.floor
-    high_kept = usable & (high_annual >= low_annual) if rules.strict_upper else usable
-    return df.withColumns(
-        {low_out: F.when(usable, low_annual), high_out: F.when(high_kept, high_annual)}
-    ).withColumn(mid_out, midpoint(F.col(low_out), F.col(high_out)))
+    # One projection per step, so that no cell is parsed more than once.
+    stated = df.withColumns(
+        {
+            "_factor": annual_factor(F.col(period), rules.factors),
+            "_low": number(F.col(low)),
+            "_high": number(F.col(high)),
+        }
+    )
+    usable = F.col("_low") * F.col("_factor") >= rules.floor
+    high_kept = usable & (F.col("_high") >= F.col("_low")) if rules.strict_upper else usable
+    return (
+        stated.withColumns(
+            {
+                low_out: F.when(usable, F.col("_low") * F.col("_factor")),
+                high_out: F.when(high_kept, F.col("_high") * F.col("_factor")),
+            }
+        )
+        .withColumn(mid_out, midpoint(F.col(low_out), F.col(high_out)))
+        .drop("_factor", "_low", "_high")
+    )
