@@ -1,9 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose the
-data and the local cores. Each query runs once warm-up free of charge: the JVM and
-the file listing are warmed by a small query first, then every query is timed once
-from building its plan to the last row.
+data and the local cores. A small query warms the JVM; then each query is timed
+once, from building its plan to the last row.
 """
 
 from __future__ import annotations
