@@ -1,0 +1,39 @@
+"""Queries of the operators that read whole texts in Arrow batches."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from jobstrata.catalog.registry import table
+from jobstrata.llm import decontaminate, token_files
+from jobstrata.llm.registry import corpus_query
+from jobstrata.llm.storage import shared_folder
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@corpus_query()
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write_token_files(docs, folder, tokenizer_path())
+    return token_files.read_token_files(manifest, folder)
+
+
+@corpus_query()
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scanned(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return decontaminate.judged(found).select(
+        "doc_id",
+        F.col("hit_words").alias("n_words"),
+        "n_hit",
+        F.coalesce(F.size("hit_items"), F.lit(0)).cast("long").alias("n_items"),
+        "items_sha256",
+        "contaminated",
+    )
