@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.catalog.registry import table
-from jobstrata.llm import decontaminate, token_files
+from jobstrata.llm import decontaminate, ordinal_quality, token_files, toxicity
 from jobstrata.llm.registry import corpus_query
+from jobstrata.llm.samples import fold_of
 from jobstrata.llm.storage import shared_folder
 
 
@@ -37,3 +38,32 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "items_sha256",
         "contaminated",
     )
+
+
+@corpus_query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learned(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, lexicon).select(
+        "doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score", "predicted", "n_hits"
+    )
+
+
+def graded_labels(labels: DataFrame) -> DataFrame:
+    """Three grades from the two labels: 0 low quality, 1 good but toxic, 2 good and clean."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    return labels.dropna(subset=["quality", "toxic"]).select("doc_id", grade.alias("grade"))
+
+
+@corpus_query()
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = graded_labels(table(spark, sf_dir, "labels"))
+    model = ordinal_quality.fitted(docs, ratings, "grade", 3)
+    return ordinal_quality.graded(docs, model).select(
+        "doc_id",
+        (fold_of("doc_id") == 0).alias("held_out"),
+        "expected_grade",
+        "tail_probability",
+        "kept",
+    )
