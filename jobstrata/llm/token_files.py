@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -27,39 +28,84 @@ from jobstrata.llm.storage import checkpointed
 
 SEQUENCE = 2048
 SEQUENCES_IN_BATCH = 256
-CACHED_UNITS = 400_000
+KEPT_PIECES = 300_000
+SLICE_BYTES = 8 << 20
 _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Whole texts to ids by the tokenizers library, each distinct unit once.
+    """Whole texts to ids by the tokenizers library, each distinct piece once.
 
     The byte-level splitting pattern always starts a new piece at a blank that a visible
     character follows, so a text's ids are the ids of its units between such places, one
-    after another. Units repeat, and their ids are kept (a bounded number of them). A text
-    that holds an added token or the mark used here for splitting is encoded as a whole.
+    after another; distinct units of a slice are found in Arrow. A unit of plain Latin
+    characters, for which the pattern's classes are fixed, is cut into its pieces here and
+    each piece goes to the library's merge model, with the ids of recent pieces kept in
+    two generations of bounded size. Other units go to the whole tokenizer, and so does a
+    text that holds an added token or the mark used here for splitting.
     """
 
     MARK = "\x01"
+    LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+    PLAIN = re.compile(rf"[\t\n\r -~{LETTERS}]*\Z")
+    # the byte-level pattern, for plain units only
+    PIECES = re.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
+    )
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
         self.added = [t["content"] for t in described.get("added_tokens", [])]
-        self.by_units = (described.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not (
-            described.get("normalizer") or described["pre_tokenizer"].get("add_prefix_space")
+        self.by_units = (
+            (described.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+            and described["pre_tokenizer"].get("use_regex", True)
+            and not described["pre_tokenizer"].get("add_prefix_space")
+            and not described.get("normalizer")
         )
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.bytes_as = str.maketrans(_byte_letters())
 
     def _encode(self, values: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(values, add_special_tokens=False)
+        done = self.tokenizer.encode_batch(values, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in done]
 
+    def _piece(self, piece: str) -> bytes:
+        blob = self.old.get(piece)
+        if blob is None:
+            letters = piece.encode().decode("latin-1").translate(self.bytes_as)
+            ids = [t.id for t in self.model.tokenize(letters)]
+            blob = np.array(ids, self.type).tobytes()
+        if len(self.young) >= KEPT_PIECES:
+            self.old, self.young = self.young, {}
+        self.young[piece] = blob
+        return blob
+
+    def _units(self, units: list[str]) -> list[bytes]:
+        plain, pieces, young = self.PLAIN.match, self.PIECES.findall, self.young.get
+        out: list[bytes] = []
+        odd: list[int] = []
+        for unit in units:
+            blob = young(unit)
+            if blob is None:
+                if plain(unit):
+                    parts = pieces(unit)
+                    blob = b"".join([self.young.get(p) or self._piece(p) for p in parts])
+                    young = self.young.get
+                else:
+                    odd.append(len(out))
+            out.append(blob)
+        for i, blob in zip(odd, self._encode([units[i] for i in odd])):
+            out[i] = blob
+        return out
+
     def __call__(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         plain = np.full(len(values), self.by_units)
@@ -71,30 +117,18 @@ class Encoder:
         )
         parts = pc.split_pattern(marked, self.MARK)
         owner = np.flatnonzero(plain)[pc.list_parent_indices(parts).to_numpy(zero_copy_only=False)]
-        units = parts.flatten()
         whole = np.flatnonzero(~plain)
-        coded = pc.dictionary_encode(units)
-        distinct = coded.dictionary.to_pylist()
-        blobs = [self.kept.get(u) for u in distinct]
-        new = [i for i, b in enumerate(blobs) if b is None]
-        for i, blob in zip(new, self._encode([distinct[i] for i in new])):
-            blobs[i] = blob
-        if len(self.kept) + len(new) > CACHED_UNITS:
-            self.kept.clear()
-        self.kept.update((distinct[i], blobs[i]) for i in new[:CACHED_UNITS])
+        coded = pc.dictionary_encode(parts.flatten())
+        blobs = self._units(coded.dictionary.to_pylist())
+        distinct = len(blobs)
         blobs += self._encode(values.take(pa.array(whole)).to_pylist())
-        index = np.concatenate(
-            [
-                coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-                np.arange(len(distinct), len(blobs)),
-            ]
-        )
-        owner = np.concatenate([owner, whole])
+        index = coded.indices.to_numpy(zero_copy_only=False)
         if len(whole):
+            index = np.concatenate([index, np.arange(distinct, len(blobs), dtype=index.dtype)])
+            owner = np.concatenate([owner, whole])
             order = np.argsort(owner, kind="stable")
             index, owner = index[order], owner[order]
-        size = self.type.itemsize
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // size
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // self.type.itemsize
         ends = np.concatenate([[0], np.cumsum(sizes)])
         lists = pa.LargeListArray.from_arrays(
             pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), self.type))
@@ -104,6 +138,13 @@ class Encoder:
         return ids, counts.astype(np.int64)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if printable, else the next from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
@@ -194,7 +235,7 @@ def write_token_files(
         filesystem, path = fs.FileSystem.from_uri(folder)
         filesystem.create_dir(path, recursive=True)
         encode = encoder(tokenizer)
-        index, total, own = [], 0, iter(rows.slices(batches, "text"))
+        index, total, own = [], 0, iter(rows.slices(batches, "text", SLICE_BYTES))
         first = next(own, None)
         if first is None:
             return
