@@ -39,7 +39,7 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 }
 #: one sign for letters that are told apart by hardly anything when written as digits
 MERGED = {"l": "i"}
-STEM_SIZES = (5, 6, 7, 8)
+STEM_SIZES = (4, 5, 6, 7, 8)
 BINS = 48
 _plain = re.compile(r"[^\W_]+")
 _mixed = re.compile(r"[\w@$]+")
@@ -167,13 +167,14 @@ def learned(
     label: str = "toxic",
     least_share: float = 0.005,
     least_documents: int = 4,
-    least_odds: float = 12.0,
+    least_evidence: float = 1.5,
 ) -> Lexicon:
     """A lexicon from the labelled documents outside the held-out fold.
 
     It is fitted on at most ``samples.FIT_ROWS`` labelled rows (the documented bound). An
     entry needs ``least_documents`` toxic documents and ``least_share`` of them, which
-    bounds the number of entries, and odds of ``least_odds``. Without labels, or without
+    bounds the number of entries, and a log-odds that stays above ``least_evidence`` when
+    two standard errors are taken off. Without labels, or without
     toxic ones, the lexicon is empty and every score is the base rate.
     """
     sample = checkpointed(fit_sample(docs, labels, label, key, text))
@@ -181,19 +182,18 @@ def learned(
     n = {bool(r["label"]): r["count"] for r in sizes}
     toxic, other = n.get(True, 0), n.get(False, 0)
     least = max(least_documents, least_share * toxic)
+    hits, rest = F.col("toxic") + 0.5, F.col("other") + 0.5
+    odds = F.log(hits / (toxic + 1)) - F.log(rest / (other + 1))
     table = (
         _counts(sample, lambda t: {e for w in set(t.split()) for e in entries_of(w)})
         .where(F.col("toxic") >= least)
-        .where(
-            (F.col("toxic") + 0.5) / (toxic + 1) >= least_odds * (F.col("other") + 0.5) / (other + 1)
-        )
+        .withColumn("odds", odds)
+        .where(F.col("odds") - 2 * F.sqrt(1 / hits + 1 / rest) >= least_evidence)
         .collect()
     )
-    weights = {
-        r["entry"]: math.log(((r["toxic"] + 0.5) / (toxic + 1)) / ((r["other"] + 0.5) / (other + 1)))
-        for r in table
-    }
-    lexicon = Lexicon(_closest(weights, {r["entry"]: r["toxic"] for r in table}))
+    weights = {r["entry"]: r["odds"] for r in table}
+    cover = {r["entry"]: r["toxic"] for r in table}
+    lexicon = Lexicon(_needed(sample, _closest(weights, cover), cover, toxic))
     lexicon.exceptions = _exceptions(sample, lexicon)
     lexicon.scores = _calibrated(sample, lexicon, toxic, other)
     return lexicon
@@ -223,6 +223,35 @@ def _closest(weights: dict[str, float], cover: dict[str, int]) -> dict[str, floa
     return kept
 
 
+def _needed(
+    sample: DataFrame,
+    weights: dict[str, float],
+    cover: dict[str, int],
+    toxic: int,
+    sole_share: float = 0.002,
+    wide_share: float = 0.1,
+) -> dict[str, float]:
+    """The entries of a ``wide_share`` of the toxic documents, and those that are the widest
+    entry of a ``sole_share`` of them (two at least).
+
+    A harmless word of a much copied toxic text only ever stands beside wider entries.
+    """
+    ranked = sorted(weights, key=lambda e: (cover[e], e))
+    ranks = Lexicon({e: float(i + 1) for i, e in enumerate(ranked)})
+    shared = sample.sparkSession.sparkContext.broadcast(ranks)
+    held: list = []
+
+    def widest(text: str):
+        if not held:
+            held.append(shared.value.automaton())
+        return {str(int(max(w for _, w in found)))} if (found := matches(held[0], text)) else ()
+
+    least = max(2, sole_share * toxic)
+    table = _counts(sample, widest).where(F.col("toxic") >= least).collect()
+    sole = {ranked[int(r["entry"]) - 1] for r in table}
+    return {e: w for e, w in weights.items() if e in sole or cover[e] >= wide_share * toxic}
+
+
 def _exceptions(sample: DataFrame, lexicon: Lexicon, least: int = 3) -> set[str]:
     """Neighbouring words with a hit that several harmless documents have and hardly a toxic one."""
     shared = sample.sparkSession.sparkContext.broadcast(lexicon)
