@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.catalog.registry import table
-from jobstrata.llm import decontaminate, ordinal_quality, token_files, toxicity
+from jobstrata.llm import (
+    decontaminate,
+    ordinal_quality,
+    repeated_windows,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from jobstrata.llm.registry import corpus_query
 from jobstrata.llm.samples import fold_of
 from jobstrata.llm.storage import shared_folder
@@ -67,3 +74,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tail_probability",
         "kept",
     )
+
+
+@corpus_query()
+def op3_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return repeated_windows.without_repeated_windows(docs).drop("kept_text")
+
+
+@corpus_query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.without_repeated_bytes(docs).drop("kept_bytes")
