@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobstrata.catalog.registry import table
 from jobstrata.llm import (
     decontaminate,
+    jaccard_join,
     ordinal_quality,
     repeated_windows,
     suffix_dedup,
@@ -86,3 +87,8 @@ def op3_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return suffix_dedup.without_repeated_bytes(docs).drop("kept_bytes")
+
+
+@corpus_query()
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
