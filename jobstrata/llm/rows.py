@@ -42,9 +42,14 @@ def slices(batches, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordB
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """The column as large strings, null as empty."""
+    """The column as large strings, null as empty.
+
+    The values are copied, so that their first offset is 0: Arrow's ascii_lower reads a
+    slice's data from the wrong place otherwise.
+    """
     values = batch.column(batch.schema.get_field_index(column))
-    return pc.fill_null(values.cast(pa.large_string()), "")
+    own = values.take(pa.array(np.arange(len(values))))
+    return pc.fill_null(own.cast(pa.large_string()), "")
 
 
 def split_words(values: pa.Array, pattern: str | None = None) -> tuple[pa.Array, np.ndarray]:
