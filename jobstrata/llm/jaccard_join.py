@@ -21,6 +21,7 @@ between classes.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,7 +170,7 @@ def _key_rows(frequent, boundary: int, width: int, percent: int):
 
 
 def _unpacked(batches):
-    """(h, doc) for every packed place."""
+    """(h, doc, n) for every packed place."""
     for batch in batches:
         if batch.num_rows:
             at = batch.column(1)
@@ -177,7 +178,12 @@ def _unpacked(batches):
             places = rows.unpack(at, rows.PLACE)
             h = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.record_batch(
-                [pa.array(np.repeat(h, sizes)), pa.array(places["doc"].copy())], names=["h", "doc"]
+                [
+                    pa.array(np.repeat(h, sizes)),
+                    pa.array(places["doc"].copy()),
+                    pa.array(places["pos"].copy()),
+                ],
+                names=["h", "doc", "n"],
             )
 
 
@@ -359,10 +365,17 @@ def jaccard_groups(
     shared = gathered.withColumn(
         "total", F.sum(F.octet_length("at")).over(Window.partitionBy("h"))
     ).where(F.col("total") > rows.PLACE.itemsize)
+    # sizes of linked sets fall into one class or two adjoining ones, so a key is split by them
+    band = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9)))
+    places = (
+        shared.select("h", "at")
+        .mapInArrow(_unpacked, "h long, doc long, n int")
+        .join(leaders, "doc", "left_semi")
+        .withColumn("band", F.explode(F.array(band, band + 1)))
+    )
+    crowded = places.groupBy("h", "band").agg(F.count("*").alias("size")).where("size > 1")
     members = checkpointed(
-        shared.select("h", "at").mapInArrow(_unpacked, "h long, doc long").join(
-            leaders, "doc", "left_semi"
-        )
+        places.join(crowded, ["h", "band"]).select(F.xxhash64("h", "band").alias("h"), "doc")
     )
     degree = members.groupBy("doc").agg(F.count("*").alias("degree"))
     held = members.join(degree, "doc")

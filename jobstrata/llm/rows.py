@@ -163,6 +163,7 @@ def anchors(level: np.ndarray, ok: np.ndarray, span: int) -> tuple[np.ndarray, n
     window at p covers the positions p .. p + span - 1. Equal windows have their lowest
     values at equal places, so only those positions need to be compared at large.
     """
+    level = np.maximum(level, np.uint64(1))  # 0 stands for "no window" below
     low = running_min(level, span)
     reach = running_max_before(np.where(ok, low, np.uint64(0)), span)
     # level >= low for every window over a position, so equality with the highest suffices
