@@ -7,6 +7,9 @@ between classes.
 * Shingles are ordered, frequent ones last. A set of n shingles whose link needs an overlap
   of o shares a shingle with its partner within the first n - o + 1 (the prefix), and two
   within the first n - o + 2.
+  More generally k shingles are shared within the first n - o + k. Heavy sets take k as a
+  small share of n: a set with fewer shared keys than any link would need leaves the join
+  before any text is looked at, which removes sets that share a few shingles by chance.
 * Light sets enumerate all two-element subsets of the longer prefix: few, and rarely
   shared by chance. Heavy sets put each shingle of the prefix into an inverted list; light
   sets large enough to have a heavy partner do both. The boundary has the least cost:
@@ -42,6 +45,8 @@ SEEN_IN_SLICE = 4
 #: what a list entry costs beside a subset: it is also read against its list
 LIST_COST = 4
 LARGEST_LIGHT = 96
+#: list prefixes are longer by this many percent of the set, and as many keys must be shared
+SPARE = 5
 BLOCK_MEMBERS = 4096
 PROFILE_BYTES = 8 << 20
 
@@ -51,6 +56,11 @@ def needed_overlap(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def list_prefix(n, percent: int = PERCENT):
+    """How many shingles of a set (or an array of sizes) go into lists."""
+    return n - needed_overlap(n, percent) + 1 + SPARE * n // 100
+
+
 def shingle_sets(values: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of the distinct shingles, ascending in each document; how many each has)."""
     flat, counts = rows.split_words(rows.lower_ascii(values))
@@ -111,17 +121,15 @@ def light_boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
     ``sizes`` counts the sets of each size up to ``LARGEST_LIGHT``.
     """
 
-    def prefix(n: int) -> int:
-        return n - needed_overlap(n, percent) + 1
-
     best, at = None, 0
     for boundary in range(0, LARGEST_LIGHT + 1):
         cost = 0
         for n, count in sizes.items():
             if n <= boundary:
-                cost += count * (prefix(n) + 1) * prefix(n) // 2
+                first = n - needed_overlap(n, percent) + 2
+                cost += count * first * (first - 1) // 2
             if n > boundary or 100 * n >= percent * (boundary + 1):
-                cost += count * LIST_COST * prefix(n)
+                cost += count * LIST_COST * list_prefix(n, percent)
         if best is None or cost < best:
             best, at = cost, boundary
     return at
@@ -137,7 +145,6 @@ def _key_rows(frequent, boundary: int, width: int, percent: int):
         for batch in rows.slices(batches, "text"):
             hashes, counts = shingle_sets(rows.texts(batch), width)
             n = len(counts)
-            needed = -(-percent * counts // 100)
             # equal sets are one class, so a set must allow a difference
             open_ = 100 * (counts - 1) >= percent * counts
             open_ |= 100 * counts >= percent * (counts + 1)
@@ -153,7 +160,7 @@ def _key_rows(frequent, boundary: int, width: int, percent: int):
             place = np.arange(len(hashes)) - starts[owner]
             light = counts <= boundary
             listed = open_ & (~light | (100 * counts >= percent * (boundary + 1)))
-            own = listed[owner] & (place < (counts - needed + 1)[owner])
+            own = listed[owner] & (place < list_prefix(counts, percent)[owner])
             gathered.add(hashes[own], docs[owner[own]], counts[owner[own]])
             for size in np.unique(counts[open_ & light]):
                 which = np.flatnonzero(open_ & light & (counts == size))
@@ -374,8 +381,17 @@ def jaccard_groups(
         .withColumn("band", F.explode(F.array(band, band + 1)))
     )
     crowded = places.groupBy("h", "band").agg(F.count("*").alias("size")).where("size > 1")
+    close = places.join(crowded, ["h", "band"]).select("h", "band", "doc", "n")
+    # the smallest partner's count of shared keys binds; light sets need one subset only
+    need = F.expr(f"1 + {SPARE} * (({percent} * n + 99) div 100) div 100")
+    able = (
+        close.groupBy("doc", "n")
+        .agg(F.count("*").alias("keys"))
+        .where((F.col("n") <= boundary) | (F.col("keys") >= need))
+        .select("doc")
+    )
     members = checkpointed(
-        places.join(crowded, ["h", "band"]).select(F.xxhash64("h", "band").alias("h"), "doc")
+        close.join(able, "doc", "left_semi").select(F.xxhash64("h", "band").alias("h"), "doc")
     )
     degree = members.groupBy("doc").agg(F.count("*").alias("degree"))
     held = members.join(degree, "doc")
