@@ -194,35 +194,53 @@ def _unpacked(batches):
             )
 
 
-def _differences(width: int):
-    """Streams rows sorted by (hub, salt, hub first) and gives each member's difference."""
+def _differences(width: int, percent: int):
+    """Streams rows sorted by (hub, salt, hub first). A block that is whole here is solved at
+    once and gives its links (a, b); members of a divided block leave as differences."""
 
     def run(batches):
-        hub, hub_set = None, np.empty(0, np.uint64)
+        hub, hub_set, members = None, np.empty(0, np.uint64), []
         for batch in rows.slices(batches, "text"):
             hashes, counts = shingle_sets(rows.texts(batch), width)
             ends = np.cumsum(counts)
-            out = []
-            hubs, salts, docs = (batch.column(i).to_pylist() for i in range(3))
-            for h, salt, doc, n, end in zip(hubs, salts, docs, counts.tolist(), ends.tolist()):
+            links, out = [], []
+            columns = (batch.column(i).to_pylist() for i in range(4))
+            for h, salt, doc, parts, n, end in zip(*columns, counts.tolist(), ends.tolist()):
                 own = hashes[end - n : end]
                 if doc == h:
-                    hub, hub_set = h, own.copy()
+                    if members:
+                        links.extend(_solve(hub, members, percent))
+                    hub, hub_set, members = h, own.copy(), []
                     if salt:
                         continue  # the hub itself counts once
                 if hub != h:
                     raise ValueError(f"document {h} leads a block but has no text")
-                delta = np.setxor1d(own, hub_set, assume_unique=True)
-                out.append((h, doc, n, len(hub_set), delta.tobytes()))
-            columns = list(zip(*out)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.binary())],
-                names=["hub", "doc", "n", "n_hub", "delta"],
-            )
+                delta = np.setxor1d(own, hub_set, assume_unique=True).tobytes()
+                if parts == 1:
+                    members.append((doc, n, len(hub_set), delta))
+                else:
+                    out.append((h, doc, n, len(hub_set), parts, delta))
+            yield _links_and_members(links, out)
+        if members:
+            yield _links_and_members(_solve(hub, members, percent), [])
 
     return run
 
 
+def _links_and_members(links: list, members: list) -> pa.RecordBatch:
+    columns = list(zip(*members)) if members else [()] * 6
+    pairs = list(zip(*links)) if links else [()] * 2
+    none, blank = len(links), len(members)
+    return pa.RecordBatch.from_arrays(
+        [
+            *(pa.array([*pairs[i], *[None] * blank], pa.int64()) for i in range(2)),
+            *(pa.array([*[None] * none, *columns[i]], pa.int64()) for i in range(5)),
+            pa.array([*[None] * none, *columns[5]], pa.binary()),
+        ],
+        names=["a", "b", "hub", "doc", "n", "n_hub", "parts", "delta"],
+    )
+
+
 def linked(
     docs: np.ndarray, sizes: np.ndarray, hub_size: int, hub: int, deltas: list[np.ndarray], percent: int
 ) -> Iterator[tuple[int, int]]:
@@ -417,17 +435,25 @@ def jaccard_groups(
         ),
     )
     with_text = dealt.join(texts, "doc").select(
-        "hub", "salt", "doc", (F.col("doc") != F.col("hub")).alias("member"), "text"
+        "hub",
+        "salt",
+        "doc",
+        F.col("parts").cast("long").alias("parts"),
+        (F.col("doc") != F.col("hub")).alias("member"),
+        "text",
     )
-    differences = (
+    solved = checkpointed(
         with_text.repartition("hub", "salt")
         .sortWithinPartitions("hub", "salt", "member")
-        .mapInArrow(_differences(width), "hub long, doc long, n long, n_hub long, delta binary")
+        .mapInArrow(
+            _differences(width, percent),
+            "a long, b long, hub long, doc long, n long, n_hub long, parts long, delta binary",
+        )
     )
-    side = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
-    blocks = (
-        differences.join(parts, "hub")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    side = F.pmod(F.xxhash64("doc"), F.col("parts"))
+    divided = (
+        solved.where("a IS NULL")
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .select(
             "hub",
             F.least(side, "other").alias("i"),
@@ -437,12 +463,11 @@ def jaccard_groups(
             "n_hub",
             "delta",
         )
-    )
-    edges = (
-        blocks.repartition("hub", "i", "j")
+        .repartition("hub", "i", "j")
         .sortWithinPartitions("hub", "i", "j")
         .mapInArrow(_block_links(percent), "a long, b long")
     )
+    edges = solved.where("a IS NOT NULL").select("a", "b").union(divided)
     roots = components(edges)
     return (
         classes.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
