@@ -38,8 +38,10 @@ def filled_list(col: Column) -> Column:
 
 
 def number(col: Column) -> Column:
-    """Text to double; blank and malformed text become null."""
-    return col.cast("string").try_cast("double")
+    """Plain decimal text to double; blank and other text ("NaN", "5d") become null."""
+    text = col.cast("string")
+    plain = text.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    return F.when(plain, text.try_cast("double"))
 
 
 def day(col: Column, fmt: str = "yyyy-MM-dd") -> Column:
@@ -98,8 +100,8 @@ def or_label(col: Column, label: str) -> Column:
 
 
 def text_list(col: Column) -> Column:
-    """JSON list text to a set of strings; anything not starting with ``[`` is empty."""
-    parsed = F.from_json(col, "array<string>")
+    """JSON list text to a set of strings, nulls left out; text not starting with ``[`` is empty."""
+    parsed = F.array_compact(F.from_json(col, "array<string>"))
     return F.coalesce(
         F.array_distinct(F.when(F.startswith(col, F.lit("[")), parsed)),
         F.array().cast("array<string>"),

@@ -165,3 +165,13 @@ def test_national_and_url_patterns(spark):
     assert got == [True, True, False, True]
     got = column(spark, ["acme.com", "Acme", "x.oraclecloud"], lambda v: v.rlike(preset.URL_LIKE))
     assert got == [True, False, True]
+
+
+def test_only_plain_decimal_text_is_a_number(spark):
+    given = ["NaN", "Infinity", "-inf", "5d", "5f", "1,000", "", None, " 7 ", "-.5", "1.5E3", "2."]
+    want = [None] * 8 + [7.0, -0.5, 1500.0, 2.0]
+    assert column(spark, given, cells.number) == want
+
+
+def test_null_items_leave_a_list(spark):
+    assert column(spark, ['["a",null,"a"]', "[null]"], cells.text_list) == [["a"], []]
