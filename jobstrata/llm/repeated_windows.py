@@ -14,7 +14,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobstrata.llm import rows
@@ -38,117 +38,71 @@ def _words(batch: pa.RecordBatch):
     return rows.word_hashes(flat), counts
 
 
-def _alive(units, counts, lengths: list[int], window: int, found: list[list]):
+def _alive(units, counts, lengths: list[int], window: int, batch: pa.RecordBatch):
     """Which windows' lowest short window repeats, judged by the places found so far.
 
-    ``found`` has, for each level done, the packed offsets of repeated anchors by row.
+    From its third column on the batch has, for each level done, the offsets of repeated
+    anchors by row.
     """
     able = rows.inside(counts, window)
-    starts = rows.offsets(counts)
-    for length, packed in zip(lengths, found):
+    for length, lists in zip(lengths, batch.columns[2:]):
         span = window - length + 1
         level = rows.stirred(rows.window_hashes(units, length))
         repeated = np.full(len(units), rows.HIGHEST)
-        for row, parts in enumerate(packed):
-            for part in parts or ():
-                at = starts[row] + np.frombuffer(part, "<i4")
-                repeated[at] = level[at]
+        at = rows.listed_places(lists, counts)
+        repeated[at] = level[at]
         low = rows.running_min(level, span)
         able &= rows.running_min(repeated, span) == low
     return able
 
 
-def _found(batch: pa.RecordBatch, n: int) -> list[list]:
-    return [batch.column(2 + i).to_pylist() for i in range(n)]
-
-
 def _doc_of(counts: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(np.cumsum(counts), at, side="right")
 
 
-def _anchor_rows(lengths: list[int], window: int):
-    """(h, at) of the anchors of the next level, among windows still alive."""
+def _anchor_rows(lengths: list[int], window: int, bits: int):
+    """The anchors of the next level, among windows still alive."""
     *done, length = lengths
 
     def run(batches):
-        gathered = rows.Gathered()
+        sent = rows.Occurrences(bits)
         for batch in rows.slices(batches, "text"):
             units, counts = _words(batch)
             if not len(units):
                 continue
-            able = _alive(units, counts, done, window, _found(batch, len(done)))
+            able = _alive(units, counts, done, window, batch)
             level = rows.stirred(rows.window_hashes(units, length))
             _, marked = rows.anchors(level, able, window - length + 1)
-            at = np.flatnonzero(marked)
-            doc = _doc_of(counts, at)
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            gathered.add(level[at], docs[doc], at - rows.offsets(counts)[doc])
-        yield from gathered.batches()
+            _send(sent, batch, counts, np.flatnonzero(marked), level, 0)
+        yield from sent.batches()
 
     return run
 
 
-def _window_rows(lengths: list[int], window: int):
-    """(h, g, doc, pos, rest): each distinct window of the task once, at its first place; the
-    task's later places are packed in ``rest``."""
+def _window_rows(lengths: list[int], window: int, bits: int):
+    """The windows still alive."""
 
     def run(batches):
-        hashes, checks, places = [], [], []
+        sent = rows.Occurrences(bits)
         for batch in rows.slices(batches, "text"):
             units, counts = _words(batch)
             if not len(units):
                 continue
-            able = _alive(units, counts, lengths, window, _found(batch, len(lengths)))
-            at = np.flatnonzero(able)
-            place = np.empty(len(at), rows.PLACE)
-            doc = _doc_of(counts, at)
-            place["doc"] = batch.column(0).to_numpy(zero_copy_only=False)[doc]
-            place["pos"] = at - rows.offsets(counts)[doc]
-            hashes.append(rows.window_hashes(units, window)[at])
-            # a second hash of other units: 128 bits tell windows apart
-            checks.append(rows.window_hashes(rows.stirred(units), window)[at])
-            places.append(place)
-        if not hashes:
-            return
-        h, g, place = map(np.concatenate, (hashes, checks, places))
-        del hashes, checks, places
-        order = np.lexsort([place["pos"], place["doc"], g, h])
-        h, g, place = h[order], g[order], place[order]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
-        starts = np.flatnonzero(fresh)
-        later = place[~fresh]
-        # bounds of each first place's later ones in ``later``
-        bounds = np.append(starts, len(h)) - np.arange(len(starts) + 1)
-        step = 1 << 17
-        for i in range(0, len(starts), step):
-            own = starts[i : i + step]
-            cut = bounds[i : i + len(own) + 1]
-            yield pa.record_batch(
-                [
-                    pa.array(h[own].view(np.int64)),
-                    pa.array(g[own].view(np.int64)),
-                    pa.array(place["doc"][own]),
-                    pa.array(place["pos"][own]),
-                    rows.pack(later[cut[0] : cut[-1]], cut - cut[0]),
-                ],
-                names=["h", "g", "doc", "pos", "rest"],
-            )
+            able = _alive(units, counts, lengths, window, batch)
+            h = rows.stirred(rows.window_hashes(units, window))
+            # a second hash, of other units
+            g = rows.stirred(rows.window_hashes(rows.stirred(units), window)) >> np.uint64(32)
+            _send(sent, batch, counts, np.flatnonzero(able), h, g)
+        yield from sent.batches()
 
     return run
 
 
-def _later_places(batches):
-    """(doc, found) of the places that are not the first of their window."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        first = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
-        own = np.empty(int((~first).sum()), rows.PLACE)
-        own["doc"] = batch.column(0).to_numpy(zero_copy_only=False)[~first]
-        own["pos"] = batch.column(1).to_numpy(zero_copy_only=False)[~first]
-        rest = rows.unpack(batch.column(2), rows.PLACE)
-        yield rows.by_document(np.concatenate([own, rest]))
+def _send(sent: rows.Occurrences, batch: pa.RecordBatch, counts, at, h, g) -> None:
+    doc = _doc_of(counts, at)
+    docs = batch.column(0).to_numpy(zero_copy_only=False)
+    second = g[at] if isinstance(g, np.ndarray) else g
+    sent.add(h[at], second, docs[doc], at - rows.offsets(counts)[doc])
 
 
 def _removed(window: int):
@@ -157,13 +111,9 @@ def _removed(window: int):
     def run(batches):
         for batch in rows.slices(batches, "text"):
             flat, counts = rows.split_words(rows.texts(batch))
-            starts = rows.offsets(counts) if len(counts) else counts
-            change = np.zeros(len(flat) + 1, np.int64)
-            for row, parts in enumerate(batch.column(2).to_pylist()):
-                for part in parts or ():
-                    at = starts[row] + np.frombuffer(part, "<i4")
-                    change[at] += 1  # a document's offsets are distinct in one part
-                    np.subtract.at(change, at + window, 1)
+            at = rows.listed_places(batch.column(2), counts)  # each place once
+            change = np.bincount(at, minlength=len(flat) + 1)
+            change -= np.bincount(at + window, minlength=len(flat) + 1)
             gone = np.cumsum(change[:-1]) > 0
             owner = np.repeat(np.arange(len(counts)), counts)
             removed = np.bincount(owner[gone], minlength=len(counts))
@@ -186,6 +136,11 @@ def _removed(window: int):
     return run
 
 
+def _by_document(sent: DataFrame, every: bool, name: str) -> DataFrame:
+    places = rows.wanted_places(sent, every)
+    return places.groupBy("doc").agg(F.collect_list("pos").alias(name))
+
+
 def without_repeated_windows(
     docs: DataFrame,
     key: str = "doc_id",
@@ -204,32 +159,19 @@ def without_repeated_windows(
     greatest text. An empty table gives no rows. Other columns are not read.
 
     The texts are dealt by document once and that shuffle serves every level. A hash
-    leaves a task once, with all its places packed, so a window that a third of all
-    documents hold has at most one row per task in any group. The places come back packed
-    by document and task.
+    leaves a task once, so a window that a third of all documents hold has at most one
+    entry per task in any group. The places come back packed by document and task.
     """
     texts = rows.one_row_per_document(docs, key, text)
+    bits = rows.bucket_bits(docs, text)
     lengths = levels(first, window)
-    known, types = texts, []
+    known = texts
     for n in range(1, len(lengths) + 1):
-        gathered = known.mapInArrow(_anchor_rows(lengths[:n], window), "h long, at binary")
-        parts = rows.repeated_places(gathered).groupBy("doc").agg(
-            F.collect_list("found").alias(f"level{n}")
-        )
-        known = known.join(parts, "doc", "left" if n > 1 else "inner")
-        types.append(f"level{n}")
-    windows = known.mapInArrow(
-        _window_rows(lengths, window), "h long, g long, doc long, pos int, rest binary"
-    )
-    same = Window.partitionBy("h", "g")
-    at = F.struct("doc", "pos")
-    later = (
-        windows.withColumn("first", F.min(at).over(same) == at)
-        .where(~F.col("first") | (F.octet_length("rest") > 0))
-        .select("doc", "pos", "rest", "first")
-        .mapInArrow(_later_places, "doc long, found binary")
-    )
-    done = rows.with_found(texts, later).mapInArrow(
+        sent = known.mapInArrow(_anchor_rows(lengths[:n], window, bits), rows.Occurrences.SCHEMA)
+        known = known.join(_by_document(sent, True, f"level{n}"), "doc", "left" if n > 1 else "inner")
+    sent = known.mapInArrow(_window_rows(lengths, window, bits), rows.Occurrences.SCHEMA)
+    later = _by_document(sent, False, "later")
+    done = texts.join(later, "doc", "left").mapInArrow(
         _removed(window),
         "doc long, n_words long, n_removed long, kept_sha256 string, kept_text string",
     )

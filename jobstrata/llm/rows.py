@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,12 @@ def slices(batches, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordB
         if batch.num_rows == 0:
             continue
         index = batch.schema.get_field_index(column)
-        lengths = pc.fill_null(pc.binary_length(batch.column(index)), 0)
+        values = batch.column(index)
+        if pa.types.is_binary(values.type):
+            sizes = [zstandard.frame_content_size(v) for v in values.to_pylist()]
+            lengths = pa.array(sizes, pa.int64())
+        else:
+            lengths = pc.fill_null(pc.binary_length(values), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
@@ -42,16 +48,35 @@ def slices(batches, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordB
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """The column as large strings, null as empty.
+    """The column as large strings, null as empty; ``compressed`` texts are unpacked.
 
     The values are copied, so that their first offset is 0: Arrow's ascii_lower reads a
     slice's data from the wrong place otherwise.
     """
     values = batch.column(batch.schema.get_field_index(column))
+    if pa.types.is_binary(values.type):
+        unpack_ = zstandard.ZstdDecompressor().decompress
+        return pa.array([unpack_(v) for v in values.to_pylist()], pa.large_binary()).cast(
+            pa.large_string()
+        )
     own = values.take(pa.array(np.arange(len(values))))
     return pc.fill_null(own.cast(pa.large_string()), "")
 
 
+def compressed(texts: DataFrame) -> DataFrame:
+    """(doc, text) with each text as a zstd frame, for texts that are shuffled whole."""
+
+    def run(batches):
+        pack_ = zstandard.ZstdCompressor(level=3).compress
+        for batch in slices(batches, "text"):
+            bodies = [pack_(v or b"") for v in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.record_batch(
+                [batch.column(0), pa.array(bodies, pa.binary())], names=["doc", "text"]
+            )
+
+    return texts.select("doc", "text").mapInArrow(run, "doc long, text binary")
+
+
 def split_words(values: pa.Array, pattern: str | None = None) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in order, and how many words each text has.
 
@@ -237,6 +262,145 @@ def places_by_document(batches) -> Iterator[pa.RecordBatch]:
             yield by_document(unpack(at, PLACE))
 
 
+#: a string's two hashes (96 bits tell strings apart), one of its places, and whether the
+#: task has the string again
+ENTRY = np.dtype([("h", "<u8"), ("g", "<u4"), ("doc", "<i8"), ("pos", "<i4"), ("again", "u1")])
+#: text that one bucket of hashes stands for
+BUCKET_BYTES = 256 << 10
+HELD_BYTES = 16 << 20
+
+
+def bucket_bits(docs: DataFrame, text: str) -> int:
+    """How many leading bits of a hash name its bucket: buckets grow in number, not in size."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(6, min(40, (size // BUCKET_BYTES).bit_length()))
+
+
+def _planes(records: np.ndarray) -> bytes:
+    """The records byte by byte: all first bytes, all second bytes (bytes alike compress)."""
+    return records.view(np.uint8).reshape(len(records), -1).T.tobytes()
+
+
+def _from_planes(body: bytes, dtype: np.dtype) -> np.ndarray:
+    planes = np.frombuffer(body, np.uint8).reshape(dtype.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+class Occurrences:
+    """One task's strings and their places, to find those that occur elsewhere.
+
+    A string leaves the task once, with its first place, in the row of its bucket. Its
+    other places in the task are known to repeat an earlier one; they leave as such,
+    dealt by document. So a string that a third of all rows hold has one entry per task in
+    its bucket.
+    """
+
+    SCHEMA = "bucket long, known boolean, body binary"
+
+    def __init__(self, bits: int) -> None:
+        self.bits = bits
+        self.parts: list[np.ndarray] = []
+
+    def add(self, h: np.ndarray, g, docs: np.ndarray, positions: np.ndarray) -> None:
+        entries = np.empty(len(h), ENTRY)
+        entries["h"], entries["g"], entries["doc"], entries["pos"] = h, g, docs, positions
+        entries["again"] = 0
+        self.parts.append(entries)
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        if not self.parts:
+            return
+        entries, fresh = _ordered(np.concatenate(self.parts))
+        self.parts = []
+        entries["again"][:-1] = ~fresh[1:]
+        first, later = entries[fresh], entries[~fresh]
+        yield from self._rows(first, first["h"], False)
+        spread = stirred(later["doc"].astype(np.uint64))
+        order = np.lexsort([later["pos"], spread])
+        later = later[order]
+        later["g"], later["again"] = 0, 0
+        yield from self._rows(later, spread[order], True)
+
+    def _rows(self, records: np.ndarray, hashes: np.ndarray, known: bool):
+        buckets = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
+        ends = np.append(cuts, len(records))
+        for i in range(0, len(cuts), 1024):
+            own = cuts[i : i + 1024]
+            bodies = [_planes(records[a:b]) for a, b in zip(own, ends[i + 1 : i + 1025])]
+            yield pa.record_batch(
+                [
+                    pa.array(buckets[own]),
+                    pa.array(np.full(len(own), known)),
+                    pa.array(bodies, pa.binary()),
+                ],
+                names=["bucket", "known", "body"],
+            )
+
+
+def _ordered(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries by string and place, and which are the first of their string."""
+    entries = entries[
+        np.lexsort([entries["pos"], entries["doc"], entries["g"], entries["h"]])
+    ]
+    fresh = np.ones(len(entries), bool)
+    h, g = entries["h"], entries["g"]
+    fresh[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+    return entries, fresh
+
+
+def wanted_places(sent: DataFrame, every: bool) -> DataFrame:
+    """(h, doc, pos): what all tasks' ``Occurrences`` sent, one place a row.
+
+    All places of the strings that repeat (``every``), or all but the first of each.
+    """
+
+    def rows_of(entries: np.ndarray):
+        for i in range(0, len(entries), 1 << 17):
+            part = entries[i : i + (1 << 17)]
+            h = np.ascontiguousarray(part["h"]).view(np.int64)
+            yield pa.record_batch(
+                [pa.array(h), pa.array(part["doc"].copy()), pa.array(part["pos"].copy())],
+                names=["h", "doc", "pos"],
+            )
+
+    def merged(bodies: list[bytes]):
+        entries, fresh = _ordered(np.concatenate([_from_planes(b, ENTRY) for b in bodies]))
+        wanted = ~fresh
+        if every:
+            wanted |= np.append(wanted[1:], False) | (entries["again"] > 0)
+        yield from rows_of(entries[wanted])
+
+    def run(batches):
+        held, size, last = [], 0, None
+        for batch in batches:
+            for bucket, known, body in zip(*(c.to_pylist() for c in batch.columns)):
+                if known:
+                    yield from rows_of(_from_planes(body, ENTRY))
+                    continue
+                if bucket != last and size >= HELD_BYTES:
+                    yield from merged(held)
+                    held, size = [], 0
+                last = bucket
+                held.append(body)
+                size += len(body)
+        if held:
+            yield from merged(held)
+
+    return (
+        sent.repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(run, "h long, doc long, pos int")
+    )
+
+
+def listed_places(lists: pa.Array, counts: np.ndarray) -> np.ndarray:
+    """Where the listed offsets of every row lie in the rows' concatenated units."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    return np.repeat(offsets(counts), sizes) + flat if len(flat) else np.empty(0, np.int64)
+
+
 def one_row_per_document(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, text), dealt by document: null keys are left out, null text is empty, and of
     rows that repeat a key the one with the greatest text counts."""
