@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.llm import rows
@@ -135,13 +135,12 @@ def light_boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
     return at
 
 
-def _key_rows(frequent, boundary: int, width: int, percent: int):
-    """(h, at): the keys of every set that can have an unequal partner; ``at`` packs places
-    (document, set size)."""
+def _key_rows(frequent, boundary: int, width: int, percent: int, bits: int):
+    """The keys of every set that can have an unequal partner, at (document, set size)."""
 
     def run(batches):
         ranks = frequent.value  # hashes of frequent shingles, ascending, and their ranks
-        gathered = rows.Gathered()
+        sent = rows.Occurrences(bits)
         for batch in rows.slices(batches, "text"):
             hashes, counts = shingle_sets(rows.texts(batch), width)
             n = len(counts)
@@ -161,7 +160,7 @@ def _key_rows(frequent, boundary: int, width: int, percent: int):
             light = counts <= boundary
             listed = open_ & (~light | (100 * counts >= percent * (boundary + 1)))
             own = listed[owner] & (place < list_prefix(counts, percent)[owner])
-            gathered.add(hashes[own], docs[owner[own]], counts[owner[own]])
+            sent.add(hashes[own], 0, docs[owner[own]], counts[owner[own]])
             for size in np.unique(counts[open_ & light]):
                 which = np.flatnonzero(open_ & light & (counts == size))
                 first = int(size - needed_overlap(int(size), percent) + 2)
@@ -170,30 +169,12 @@ def _key_rows(frequent, boundary: int, width: int, percent: int):
                 y = hashes[starts[which][:, None] + b[None, :]]
                 low, high = np.minimum(x, y), np.maximum(x, y)
                 subset = rows.stirred(low * rows.BASE + high).ravel()
-                gathered.add(subset, np.repeat(docs[which], len(a)), np.full(len(subset), size))
-        yield from gathered.batches()
+                sent.add(subset, 0, np.repeat(docs[which], len(a)), np.full(len(subset), size))
+        yield from sent.batches()
 
     return run
 
 
-def _unpacked(batches):
-    """(h, doc, n) for every packed place."""
-    for batch in batches:
-        if batch.num_rows:
-            at = batch.column(1)
-            sizes = np.array([len(v) for v in at.to_pylist()]) // rows.PLACE.itemsize
-            places = rows.unpack(at, rows.PLACE)
-            h = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.record_batch(
-                [
-                    pa.array(np.repeat(h, sizes)),
-                    pa.array(places["doc"].copy()),
-                    pa.array(places["pos"].copy()),
-                ],
-                names=["h", "doc", "n"],
-            )
-
-
 def _differences(width: int, percent: int):
     """Streams rows sorted by (hub, salt, hub first). A block that is whole here is solved at
     once and gives its links (a, b); members of a divided block leave as differences."""
@@ -386,15 +367,15 @@ def jaccard_groups(
     )
     boundary = light_boundary({r["n"]: r["count"] for r in sizes}, percent)
     frequent = _frequent(spark, profile, classes.count())
-    gathered = texts.mapInArrow(_key_rows(frequent, boundary, width, percent), "h long, at binary")
-    shared = gathered.withColumn(
-        "total", F.sum(F.octet_length("at")).over(Window.partitionBy("h"))
-    ).where(F.col("total") > rows.PLACE.itemsize)
+    bits = rows.bucket_bits(docs, text)
+    sent = texts.mapInArrow(
+        _key_rows(frequent, boundary, width, percent, bits), rows.Occurrences.SCHEMA
+    )
     # sizes of linked sets fall into one class or two adjoining ones, so a key is split by them
     band = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9)))
     places = (
-        shared.select("h", "at")
-        .mapInArrow(_unpacked, "h long, doc long, n int")
+        rows.wanted_places(sent, every=True)
+        .withColumnRenamed("pos", "n")
         .join(leaders, "doc", "left_semi")
         .withColumn("band", F.explode(F.array(band, band + 1)))
     )
@@ -434,7 +415,7 @@ def jaccard_groups(
             )
         ),
     )
-    with_text = dealt.join(texts, "doc").select(
+    with_text = dealt.join(rows.compressed(texts), "doc").select(
         "hub",
         "salt",
         "doc",
