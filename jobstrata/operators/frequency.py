@@ -125,17 +125,19 @@ def banded(
 
 def histogram(df: DataFrame, col: Column, bins: int = 14) -> DataFrame:
     """``bin, low, high, n`` with the smallest width of 1, 2 or 5 times a power of
-    ten that needs at most ``bins`` bins."""
-    values = df.select(col.cast("double").alias("x")).filter(F.col("x").isNotNull())
-    widths = F.array(*[F.lit(m * 10.0**e) for e in range(-6, 16) for m in (1, 2, 5)])
+    ten that needs at most ``bins`` (3 or more) bins; width 1 if all values are equal.
+
+    Null, NaN and infinite values are left out; without values there are no rows."""
+    x = col.cast("double")
+    values = df.select(x.alias("x")).filter(F.abs(x) < float("inf"))
+    low, high = F.min("x"), F.max("x")
+    # a width below (high - low) / bins cannot do, ten times that always can
+    least = F.floor(F.log10(high / bins - low / bins))
+    tens = [F.pow(F.lit(10.0), least + e) for e in (0, 1, 2)]
+    widths = F.array(*[m * ten for ten in tens for m in (1, 2, 5)])
+    fitting = F.filter(widths, lambda w: F.floor(high / w) - F.floor(low / w) + 1 <= bins)
     width = values.agg(
-        F.element_at(
-            F.filter(
-                widths,
-                lambda w: F.floor(F.max("x") / w) - F.floor(F.min("x") / w) + 1 <= bins,
-            ),
-            1,
-        )
+        F.when(high > low, F.get(fitting, F.lit(0))).when(high == low, 1.0).alias("width")
     ).scalar()
     return (
         values.withColumn("width", width)

@@ -233,3 +233,24 @@ def test_target_uses_the_rounded_share_only_where_asked(spark):
         g.target_level(F.round("share", 1), *tiers), g.target_level(F.col("share"), *tiers)
     ).first()
     assert tuple(row) == (4, 3)
+
+
+@pytest.mark.parametrize(
+    "cells, bins",
+    [
+        ([], 0),
+        ([None, float("nan"), float("inf")], 0),
+        ([7.0, 7.0], 1),
+        ([0.0, 1e-9], 2),
+        ([0.0, 1e18], 2),
+        ([-3.0, 0.0, 4.0, 4.0], 3),
+    ],
+)
+def test_histogram_fits_its_width_to_the_values(spark, cells, bins):
+    df = spark.createDataFrame([(c,) for c in cells], "x double")
+    out = histogram(df, F.col("x")).collect()
+    stated = [c for c in cells if c is not None and abs(c) < float("inf")]
+    assert len(out) == bins
+    assert sum(r["n"] for r in out) == len(stated)
+    for r in out:
+        assert any(r["low"] <= c <= r["high"] for c in stated)
