@@ -29,7 +29,7 @@ from jobstrata.llm.storage import checkpointed
 SEQUENCE = 2048
 SEQUENCES_IN_BATCH = 256
 KEPT_PIECES = 300_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _encoders: dict[str, Encoder] = {}
 
 
@@ -73,6 +73,10 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.bytes_as = str.maketrans(_byte_letters())
 
+    def forget(self) -> None:
+        """Drops the kept pieces, which a worker would hold through later tasks."""
+        self.young, self.old = {}, {}
+
     def _encode(self, values: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch(values, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in done]
@@ -269,6 +273,8 @@ def write_token_files(
 
         _put(filesystem, f"{path}/docs-{part:08d}.arrow", attempt, places)
         n_docs = sum(len(c) for _, _, c in index)
+        encode.forget()
+        rows.give_back()
         yield pa.record_batch(
             [pa.array([part]), pa.array([n_docs]), pa.array([total])],
             names=["part", "n_docs", "n_tokens"],
