@@ -7,6 +7,7 @@ single text, not the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,11 @@ PLACE = np.dtype([("doc", "<i8"), ("pos", "<i4")])
 
 
 def give_back() -> None:
-    """Returns Arrow's free memory to the system: a worker lives on beside later tasks."""
+    """Returns free memory to the system: a worker lives on beside later tasks."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def slices(batches, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

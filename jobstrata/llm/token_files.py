@@ -29,7 +29,7 @@ from jobstrata.llm.storage import checkpointed
 SEQUENCE = 2048
 SEQUENCES_IN_BATCH = 256
 KEPT_PIECES = 300_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _encoders: dict[str, Encoder] = {}
 
 
@@ -238,6 +238,7 @@ def write_token_files(
         part, attempt = context.partitionId(), context.taskAttemptId()
         filesystem, path = fs.FileSystem.from_uri(folder)
         filesystem.create_dir(path, recursive=True)
+        rows.give_back()
         encode = encoder(tokenizer)
         index, total, own = [], 0, iter(rows.slices(batches, "text", SLICE_BYTES))
         first = next(own, None)
