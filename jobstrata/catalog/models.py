@@ -17,8 +17,6 @@ from jobstrata.plans.paymodel import (
 )
 from jobstrata.presets import postings as preset
 
-TREES, DEPTH = 20, 6
-
 
 def _table(spark: SparkSession, sf_dir: str) -> FeatureTable:
     sample = labelled_sales(spark, sf_dir)
@@ -42,15 +40,13 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_models(_table(spark, sf_dir), trees=TREES, depth=DEPTH)
+    return compare_models(_table(spark, sf_dir))
 
 
 @query()
 def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir)
-    return coefficient_table(
-        table, fit_full(table, "logistic"), fit_full(table, "forest", TREES, DEPTH)
-    )
+    return coefficient_table(table, fit_full(table, "logistic"), fit_full(table, "forest"))
 
 
 @query()

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import SMOKE_DIR
+from jobstrata.catalog import REGISTRY
 from jobstrata.operators.features import (
     MAX_LEVELS,
     collapse_levels,
@@ -131,3 +133,17 @@ def test_preset_seed_gives_the_same_split_twice(spark):
     ]
     assert splits[0] == splits[1]
     assert preset.SEED == 688
+
+
+@pytest.mark.parametrize("name, fits", [("model_comparison", preset.FOLDS + 1), ("model_coefficients", 1)])
+def test_queries_fit_the_preset_forest(spark, monkeypatch, name, fits):
+    """The trees and depth asked for, with a small forest fitted in their place."""
+    asked, fit = [], pm.fit_forest
+
+    def small(train, trees, depth):
+        asked.append((trees, depth))
+        return fit(train, 2, 2)
+
+    monkeypatch.setattr(pm, "fit_forest", small)
+    REGISTRY[name].run(spark, SMOKE_DIR)
+    assert asked == [(preset.FOREST_TREES, 30)] * fits
