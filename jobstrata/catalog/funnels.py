@@ -76,6 +76,23 @@ def build_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("final_postings")
 
 
+@query(
+    _stats_sql().replace(
+        "SELECT * FROM of_raw, of_matched, of_panel",
+        """SELECT *, (SELECT CAST(len(json_keys(to_json(raw))) AS INT) FROM raw LIMIT 1) AS source_columns,
+    after_window AS final_postings FROM of_raw, of_matched, of_panel""",
+    )
+)
+def build_statistics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole row, its two maps as a column per key."""
+    stats = build_stats(raw_postings(spark, sf_dir), RULES)
+    return stats.select(
+        *[c for c in stats.columns if not c.endswith("_coverage")],
+        *[F.col("field_coverage")[c].alias(f"filled_{c}") for c in preset.COVERAGE_FIELDS],
+        *[F.col("skill_field_coverage")[c].alias(f"listed_{c}") for c in preset.LIST_FIELDS],
+    )
+
+
 def _years_sql(col: str) -> str:
     years = number_sql(col)
     return f"CASE WHEN {years} BETWEEN {preset.YEARS_MIN} AND {preset.YEARS_MAX} THEN {years} END"

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobstrata.catalog.features import labelled_sales
+from jobstrata.catalog.features import _SPLIT_SQL, labelled_sales
 from jobstrata.catalog.registry import query
 from jobstrata.operators.evaluate import confusion
 from jobstrata.operators.features import collapse_levels
@@ -35,7 +36,27 @@ def _table(spark: SparkSession, sf_dir: str) -> FeatureTable:
 @query()
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir)
-    return table.rows.select("o_orderkey", "label", "is_test", "fold")
+    return table.rows.select("o_orderkey", "label", "is_test", "fold", "features")
+
+
+@query(
+    f"""WITH {_SPLIT_SQL}, top AS (SELECT n_name FROM labelled WHERE n_name <> 'NATION_0' GROUP BY n_name
+        ORDER BY count(*) DESC, n_name LIMIT {preset.TOP_STATES}),
+    blocks AS (SELECT o_orderkey, unnest(['role: ' || c_mktsegment, 'remote: ' || o_orderpriority,
+        'state: ' || CASE WHEN n_name IN (SELECT n_name FROM top) OR n_name = 'NATION_0' THEN n_name
+            ELSE '{preset.OTHER_STATE}' END,
+        'year: ' || extract(YEAR FROM day)]) AS feature FROM labelled)
+    SELECT o_orderkey, label, is_test, fold, feature, 1e0 AS value
+    FROM split JOIN blocks USING (o_orderkey) WHERE feature IS NOT NULL"""
+)
+def feature_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature vectors as a row for each posting and feature that is not zero."""
+    table = _table(spark, sf_dir)
+    names = F.array(*[F.lit(n) for n in table.names])
+    pairs = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value"))
+    return table.rows.select("o_orderkey", "label", "is_test", "fold", F.inline(pairs)).filter(
+        "value <> 0"
+    )
 
 
 @query()

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from jobstrata.catalog.funnels import PANEL_SQL
 from jobstrata.catalog.inputs import (
     CODE,
     INCLUDE,
+    RAW_COLUMNS,
     RAW_SQL,
+    RULES,
     TOKENS_SQL,
     number_sql,
     pay_sql,
@@ -44,7 +47,8 @@ from jobstrata.operators.profile import (
     spelling_variants,
     volume_by_code,
 )
-from jobstrata.plans.panel import PAY, PLACES
+from jobstrata.plans.baseline import market_tables
+from jobstrata.plans.panel import PAY, PLACES, build_panel
 from jobstrata.presets import postings as preset
 from jobstrata.sources.writers import data_dictionary
 
@@ -152,6 +156,37 @@ def missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The whole summary, read off the panel as the reference's table is.
+_PANEL_CHECKS_SQL = {
+    "Job title": "TITLE_CLEAN IS NOT NULL",
+    "Employer": "COMPANY_NAME IS NOT NULL",
+    "Role family": "role_family IS NOT NULL",
+    "Posted date": "posted_date IS NOT NULL",
+    "Skills": "SKILLS_NAME <> ''",
+    "Highest education mentioned": "MAX_EDULEVELS_NAME IS NOT NULL",
+    "State (derived)": f"state <> '{preset.STATE_UNRESOLVED}'",
+    "Minimum education": "MIN_EDULEVELS_NAME IS NOT NULL",
+    "Work arrangement": f"REMOTE_TYPE_NAME <> '{preset.ARRANGEMENT_UNKNOWN}'",
+    "Salary midpoint": "salary_midpoint IS NOT NULL",
+    "Minimum experience": "min_years_experience IS NOT NULL",
+}
+
+
+@query(
+    f"WITH {PANEL_SQL} "
+    + union_sql(
+        [
+            f"'{f}' AS field, count_if({p}) AS populated, count(*) - count_if({p}) AS missing, "
+            f"round(100e0 * count_if({p}) / count(*), 4) AS coverage"
+            for f, p in _PANEL_CHECKS_SQL.items()
+        ],
+        "panel",
+    )
+)
+def panel_missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return market_tables()["missing_values"](build_panel(raw_postings(spark, sf_dir), RULES))
+
+
 _RAW_TYPES = {"ID": "bigint", "COMPANY_IS_STAFFING": "boolean"}
 _PROFILED = [
     "ID",
@@ -180,6 +215,21 @@ def schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_profile(raw_postings(spark, sf_dir).select(*_PROFILED))
 
 
+@query(
+    f"WITH {RAW_SQL} "
+    + union_sql(
+        [
+            f"CAST({i} AS INT) AS position, '{c}' AS \"column\", '{_RAW_TYPES.get(c, 'string')}' AS type, "
+            f"count({c}) AS non_null"
+            for i, c in enumerate(RAW_COLUMNS)
+        ],
+        "raw",
+    )
+)
+def schema_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_profile(raw_postings(spark, sf_dir).select(*RAW_COLUMNS))
+
+
 NOTES = {
     "o_orderkey": ("Order number", "Unique key"),
     "o_totalprice": ("Order total", "Measure of pay"),
