@@ -71,7 +71,10 @@ def judged(
     Spark broadcasts the list only below its own size limit.
     """
     seen = captures.select(
-        F.col(key).alias("__key"), F.col(at).alias("__at"), url_host(F.col(url)).alias("host")
+        F.col(key).alias("__key"),
+        F.col(at).alias("__at"),
+        F.col(url).alias("__url"),
+        url_host(F.col(url)).alias("host"),
     )
     asked = (
         seen.where(F.col("__at").isNotNull())

@@ -364,6 +364,18 @@ def test_url_lists(spark):
     assert {r.verdict for r in url_lists.judged(df, entries.limit(0)).collect()} == {"pass"}
 
 
+def test_captures_of_one_key_and_host_stay_apart(spark):
+    """Brute force: the distinct (key, URL, time) rows, each with its host."""
+    entries = spark.createDataFrame([("block", "bad.com", "add", 0)], "list string, entry string, action string, at int")
+    rows = [(1, "http://bad.com/a", 5), (1, "http://bad.com/b", 5), (1, "http://bad.com/b", 5), (1, "http://bad.com/b", 6)]
+    rows += [(None, f"http://x.org/{i % 3}", None) for i in range(6)] + [(None, "http://bad.com/", 5), (2, None, 5), (2, "", 5)]
+    hosts = {True: ("bad.com", "block"), False: ("x.org", "pass")}
+    want = Counter((k, at, *(hosts["bad.com" in u] if u else ("", "pass"))) for k, u, at in set(rows))
+    df = spark.createDataFrame(rows, "page_id long, url string, fetched int")
+    out = url_lists.judged(df, entries).collect()
+    assert Counter((r.page_id, r.fetched, r.host, r.verdict) for r in out) == want
+
+
 def test_folding_and_exceptions():
     assert toxicity.folded("An 1D10T, ｗｏrthless! 2020") == " an idiot worthiess  2020 ".replace("  2020", "")
     lexicon = toxicity.Lexicon({" scum ": 2.0, " vequ": 1.5}, {"pond scum"})
