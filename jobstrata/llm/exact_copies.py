@@ -52,9 +52,10 @@ def exact_copies(
     null for the others unless ``digest_all`` asks for every digest; the digest is then
     taken in the scan and no text is shuffled. A text is never shuffled twice.
 
-    Null text is empty; empty texts are equal to each other. Repeated rows (same key and
-    text) are copies of each other and exactly one of them stays. An empty table gives
-    no rows. Other columns are not read, whatever their names.
+    Null text is empty; empty texts are equal to each other. ``kept`` compares keys: where
+    rows repeat the key that stays, each of them is kept, and so are all null-key copies
+    where no copy has a key. One row of a group stays only while keys are unique and not
+    null. An empty table gives no rows. Other columns are not read, whatever their names.
     """
     plain = normalised(F.col(text))
     rows = docs.select(
