@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from jobstrata.session import checkpointed
 
@@ -22,3 +22,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top if ':' in top else 'file://' + top}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new shared folder and read back, its lineage cut."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
