@@ -5,11 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from jobstrata.catalog.registry import table
-from jobstrata.llm import collocations
+from jobstrata.llm import collocations, ranked_search
 from jobstrata.llm.registry import corpus_query
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+# ---- op12: every document scored for every item
+
+OP12_SQL = rf"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LOWER}),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+corpus AS (SELECT count(*) AS N_docs, CAST(sum(n) AS BIGINT) AS L FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * N_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY term, N_docs),
+impacts AS (
+  SELECT doc_id, term,
+    w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * N_docs) // L))) AS impact
+  FROM tf JOIN lengths USING (doc_id) JOIN weights USING (term), corpus),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, {_LOWER}),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM asked JOIN impacts USING (term) GROUP BY ALL HAVING sum(impact) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores)
+WHERE rank <= 10
+"""
+
+
+@corpus_query(OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search.ranked(docs, table(spark, sf_dir, "benchmark"))
+
+
 # ---- op13: every phrase of one to five words is listed by itself, cut and compared
 
 OP13_SQL = rf"""
