@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from jobstrata.catalog.registry import table
-from jobstrata.llm import collocations, ranked_search
+from jobstrata.llm import collocations, maxent_lm, ranked_search
 from jobstrata.llm.registry import corpus_query
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+@corpus_query()
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.scored(table(spark, sf_dir, "documents"))
+
+
 # ---- op12: every document scored for every item
 
 OP12_SQL = rf"""
