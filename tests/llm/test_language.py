@@ -255,9 +255,8 @@ def trained(seed=1, n=30):
     )
     starts = np.arange(0, 2000, 50)
     trainer = maxent_lm.Trainer(maxent_lm.Model.from_counts(known))
-    hashed = maxent_lm.features(cells, starts)
     for _ in range(n):
-        trainer.learn(cells, hashed)
+        trainer.learn(maxent_lm.pairs_before(cells, starts), cells)
     return trainer, cells, starts
 
 
@@ -282,26 +281,44 @@ def test_training_learns_what_follows():
 
 
 def test_gradient_by_differences():
-    """A small step's direction is the gradient of the log probability."""
+    """A step's direction is the gradient of the log probability, over classes and slots."""
     cells = np.array([5, 40, 5, 40, 700, 5, 40])
     starts = np.array([0, 4])
     known = maxent_lm.Vocabulary(7, 3, np.bincount(cells, minlength=1024), np.ones(1024, np.int64))
     model = maxent_lm.Model.from_counts(known)
-    hashed = maxent_lm.features(cells, starts)
+    pairs = maxent_lm.pairs_before(cells, starts)
     trainer = maxent_lm.Trainer(maxent_lm._copy(model))
-    trainer.learn(cells, hashed)
-    row = int(maxent_lm._rows_of(hashed, cells // 32)[0][1, 0])
-    moved = trainer.model.classes[row] - model.classes[row]
-    for place in (0, 1, 9):
-        up = maxent_lm._copy(model)
-        up.classes[row, place] += 1e-2
-        slope = (maxent_lm.cell_scores(up, cells, starts).sum() - maxent_lm.cell_scores(model, cells, starts).sum()) / 1e-2
-        gradient = moved[place] * np.sqrt(trainer.sums[0][row]) / maxent_lm.RATE
-        assert math.isclose(slope, gradient, rel_tol=0.05, abs_tol=1e-2)
-
-
-def test_features_stay_in_their_document():
+    trainer.learn(pairs, cells)
+    of_class = int(maxent_lm.class_rows(pairs)[0, 1])
+    of_slot = int(maxent_lm.slot_rows(pairs, cells // maxent_lm.SLOTS)[2, 1])
+    for name, row, sums in (("classes", of_class, trainer.sums[0]), ("slots", of_slot, trainer.sums[1])):
+        moved = getattr(trainer.model, name)[row] - getattr(model, name)[row]
+        for place in (0, 1, 2, 8):
+            up = maxent_lm._copy(model)
+            getattr(up, name)[row, place] += 1e-2
+            slope = maxent_lm.cell_scores(up, cells, starts).sum() - maxent_lm.cell_scores(model, cells, starts).sum()
+            gradient = moved[place] * np.sqrt(sums[row]) / maxent_lm.RATE
+            assert math.isclose(slope / 1e-2, gradient, rel_tol=0.05, abs_tol=1e-2)
+
+
+def test_scores_by_plain_softmax():
+    """Sorted, shared contexts give each token the score of a softmax of its own."""
+    trainer, cells, starts = trained(n=3)
+    model = trainer.model
+    found = maxent_lm.cell_scores(model, cells, starts)
+    pairs = maxent_lm.pairs_before(cells, starts)
+    classes, slots = cells // maxent_lm.SLOTS, cells % maxent_lm.SLOTS
+    first, second = maxent_lm.class_rows(pairs), maxent_lm.slot_rows(pairs, classes)
+    for i in (0, 1, 2, 49, 50, 51, 1999):
+        z = model.class_bias + sum(model.classes[r] for r in first[:, i])
+        y = model.slot_bias[classes[i]] + sum(model.slots[r] for r in second[:, i])
+        want = z[classes[i]] - np.log(np.exp(z).sum()) + y[slots[i]] - np.log(np.exp(y).sum())
+        assert math.isclose(found[i], want, rel_tol=1e-4)
+
+
+def test_pairs_stay_in_their_document():
     cells = np.array([1, 2, 3, 1, 2, 3, 4])
-    one = maxent_lm.features(cells, np.array([0, 3]))
+    one = maxent_lm.pairs_before(cells, np.array([0, 3]))
     assert np.array_equal(one[:3], one[3:6])
-    assert not np.array_equal(maxent_lm.features(cells, np.array([0]))[3], one[3])
+    assert maxent_lm.pairs_before(cells, np.array([0]))[3] != one[3]
+    assert len(set(one.tolist())) == 4
