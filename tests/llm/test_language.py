@@ -256,7 +256,7 @@ def trained(seed=1, n=30):
     starts = np.arange(0, 2000, 50)
     trainer = maxent_lm.Trainer(maxent_lm.Model.from_counts(known))
     for _ in range(n):
-        trainer.learn(maxent_lm.pairs_before(cells, starts), cells)
+        trainer.learn(maxent_lm.followed(cells, starts))
     return trainer, cells, starts
 
 
@@ -288,7 +288,7 @@ def test_gradient_by_differences():
     model = maxent_lm.Model.from_counts(known)
     pairs = maxent_lm.pairs_before(cells, starts)
     trainer = maxent_lm.Trainer(maxent_lm._copy(model))
-    trainer.learn(pairs, cells)
+    trainer.learn(maxent_lm.followed(cells, starts))
     of_class = int(maxent_lm.class_rows(pairs)[0, 1])
     of_slot = int(maxent_lm.slot_rows(pairs, cells // maxent_lm.SLOTS)[2, 1])
     for name, row, sums in (("classes", of_class, trainer.sums[0]), ("slots", of_slot, trainer.sums[1])):
