@@ -5,11 +5,13 @@ the piece ends. Only these windows are counted; Spark's ROLLUP over the window's
 sums them to the counts of all shorter phrases, since every occurrence of a phrase is the
 beginning of exactly one window.
 
-A phrase that occurs ``least`` times holds only words and word pairs that do so as well.
-A first read of the texts therefore counts hashed words and pairs into tables of fixed size;
-the second one cuts windows before a word or pair whose whole bucket stays below ``least``.
-A bucket counts at least what each of its members does, so no frequent phrase is lost, and
-the windows left are few.
+All beginnings of a phrase that occurs ``least`` times do so as well. A first read of the
+texts therefore counts hashed beginnings of windows, a table of buckets for each length; the
+second one cuts a window where a beginning's whole bucket stays below ``least``. A bucket
+counts at least what each of its members does, so no frequent phrase is lost, and few
+distinct windows are left to be shuffled. The tables grow with the corpus up to ``MOST_BITS``;
+beyond about 2 GB of text for each 100 of ``least`` they tell less and less apart, the result
+stays exact and more windows are shuffled. On larger corpora choose ``least`` accordingly.
 """
 
 from __future__ import annotations
@@ -29,10 +31,10 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 #: text of a task's slice; the windows of a slice are counted before they leave it
-SLICE_BYTES = 8 << 20
-#: bytes of text for one bucket of the pair table, and the table's least and greatest size
+SLICE_BYTES = 4 << 20
+#: bytes of text for one bucket of a table, and a table's least and greatest size
 BYTES_PER_BUCKET = 256
-LEAST_BITS, MOST_BITS = 12, 24
+LEAST_BITS, MOST_BITS = 12, 23
 #: buckets that travel as one row
 SEGMENT_BITS = 16
 #: an unstated language
@@ -77,9 +79,18 @@ class Words:
         keys = self._hashes(self.langs, "collocation-lang")[self.lang]
         plain = self._hashes(self.dictionary, "collocation-word")
         self.word = rows.stirred(plain[self.codes] ^ keys) if len(doc) else plain
-        self.pair = np.zeros(len(doc), np.uint64)
-        if len(doc):
-            self.pair[:-1] = rows.stirred(self.word[:-1] * rows.BASE + self.word[1:])
+    def beginnings(self, longest: int):
+        """(length, hash of the words from each on, where there are so many) for each length."""
+        hashes, able = self.word, np.ones(len(self.word), bool)
+        for length in range(1, longest + 1):
+            yield length, hashes, able
+            ahead = len(hashes) - length
+            if ahead <= 0:
+                return
+            longer, goes_on = hashes.copy(), np.zeros(len(able), bool)
+            longer[:ahead] = rows.stirred(hashes[:ahead] * rows.BASE + self.word[length:])
+            goes_on[:ahead] = able[:ahead] & self.linked[length - 1 : -1]
+            hashes, able = longer, goes_on
 
     @staticmethod
     def _starts(kind: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -112,31 +123,37 @@ def _slice_words(batch: pa.RecordBatch) -> Words:
     return Words(rows.texts(batch, "text"), batch.column(0).cast(pa.large_string()))
 
 
-def bucket_counts(spoken: DataFrame, bits: int) -> DataFrame:
-    """(part, segment, lang, n, counts): every task's bucket counts of words (part 0) and pairs
-    (part 1), packed by segment, and its word counts by language (part 2)."""
+def bucket_counts(spoken: DataFrame, bits: int, longest: int, least: int) -> DataFrame:
+    """(part, segment, lang, n, counts): every task's bucket counts of beginnings (part: their
+    length), packed by segment, and its word counts by language (part 0)."""
     schema = "part int, segment long, lang string, n long, counts binary"
+    # a count that has reached ``least`` need not go on
+    kind = np.dtype("<u2") if least < 1 << 16 else np.dtype("<u4")
+    most = np.iinfo(kind).max
 
     def run(batches):
-        counts = np.zeros((2, 1 << bits), np.uint32)
+        counts = np.zeros((longest, 1 << bits), kind)
         spoken_words: dict[str, int] = {}
         for batch in rows.slices(batches, "text", SLICE_BYTES):
             own = _slice_words(batch)
-            counts[0] += np.bincount(_bucket(own.word, bits), minlength=1 << bits).astype(np.uint32)
-            pairs = _bucket(own.pair[own.linked], bits)
-            counts[1] += np.bincount(pairs, minlength=1 << bits).astype(np.uint32)
+            for length, hashes, able in own.beginnings(longest):
+                found = np.sort(_bucket(hashes[able], bits))
+                at = np.flatnonzero(np.append(True, found[1:] != found[:-1])[: len(found)])
+                met = found[at]
+                total = counts[length - 1][met] + np.diff(np.append(at, len(found)))
+                counts[length - 1][met] = np.minimum(total, most)
             sizes = np.bincount(own.lang, minlength=len(own.langs)).tolist()
             for lang, n in zip(own.langs.to_pylist(), sizes):
                 spoken_words[lang] = spoken_words.get(lang, 0) + n
         pack = zstandard.ZstdCompressor(level=1).compress
         size = 1 << min(bits, SEGMENT_BITS)
-        for part in (0, 1):
+        for length in range(1, longest + 1):
             for segment in range((1 << bits) // size):
-                cut = counts[part, segment * size : (segment + 1) * size]
+                cut = counts[length - 1, segment * size : (segment + 1) * size]
                 if cut.any():
-                    yield _one(part, segment, None, 0, pack(rows._planes(cut)))
+                    yield _one(length, segment, None, 0, pack(rows._planes(cut.astype("<u4"))))
         for lang, n in spoken_words.items():
-            yield _one(2, 0, lang, n, None)
+            yield _one(0, 0, lang, n, None)
 
     def _one(*cells):
         types = (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary())
@@ -176,7 +193,7 @@ def frequent_buckets(counted: DataFrame, least: int) -> DataFrame:
         )
 
     return (
-        counted.where("part < 2")
+        counted.where("part > 0")
         .select("part", "segment", "counts")
         .repartition("part", "segment")
         .sortWithinPartitions("part", "segment")
@@ -184,14 +201,14 @@ def frequent_buckets(counted: DataFrame, least: int) -> DataFrame:
     )
 
 
-def _bitmaps(found: DataFrame, bits: int) -> np.ndarray:
-    """The two tables as booleans: at most 2 x 2**MOST_BITS bits come to the driver."""
-    maps = np.zeros((2, 1 << bits), bool)
+def _bitmaps(found: DataFrame, bits: int, longest: int) -> np.ndarray:
+    """The tables as packed bits: at most ``longest`` x 2**MOST_BITS come to the driver."""
+    maps = np.zeros((longest, 1 << bits), bool)
     size = 1 << min(bits, SEGMENT_BITS)
     for r in found.collect():
         start = r["segment"] * size
         cut = np.frombuffer(r["bits"], np.uint8)
-        maps[r["part"], start : start + size] = np.unpackbits(cut)[:size].astype(bool)
+        maps[r["part"] - 1, start : start + size] = np.unpackbits(cut)[:size].astype(bool)
     return np.packbits(maps, axis=1)
 
 
@@ -201,31 +218,30 @@ def windows(spoken: DataFrame, maps: np.ndarray, bits: int, longest: int) -> Dat
     shared = spoken.sparkSession.sparkContext.broadcast(maps)
 
     def run(batches):
-        tables = [np.unpackbits(m).astype(bool) for m in shared.value]
         for batch in rows.slices(batches, "text", SLICE_BYTES):
             own = _slice_words(batch)
             if not len(own.codes):
                 continue
-            able = tables[0][_bucket(own.word, bits)]
-            # the word is frequent and so is the pair it makes with its successor
-            goes_on = own.linked & able & tables[1][_bucket(own.pair, bits)]
-            goes_on[:-1] &= able[1:]
-            yield from _counted(own, able, goes_on, longest, names)
+            lengths, whole = np.zeros(len(own.codes), np.int8), True
+            for length, hashes, able in own.beginnings(longest):
+                at = np.flatnonzero(able & whole)
+                bucket = _bucket(hashes[at], bits)
+                bit = shared.value[length - 1][bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)
+                whole = np.zeros(len(able), bool)
+                whole[at] = (bit & 1).astype(bool)
+                lengths[whole] = length
+            yield from _counted(own, lengths, longest, names)
 
     columns = ", ".join(f"{n} string" for n in names)
     return spoken.mapInArrow(run, f"lang string, {columns}, c long")
 
 
-def _counted(own: Words, able, goes_on, longest: int, names: list[str]):
+def _counted(own: Words, lengths: np.ndarray, longest: int, names: list[str]):
     """The slice's distinct windows, those of one length after the other."""
     words = pa.concat_arrays([own.dictionary, pa.array([""], own.dictionary.type)])
     pad = len(own.dictionary)
-    at = np.flatnonzero(able)
     for length in range(1, longest + 1):
-        if not len(at):
-            return
-        more = goes_on[at + length - 1] if length < longest else np.zeros(len(at), bool)
-        whole, at = at[~more], at[more]
+        whole = np.flatnonzero(lengths == length)
         if not len(whole):
             continue
         key = own.lang[whole]
@@ -357,10 +373,10 @@ def collocations(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     size = spoken.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(LEAST_BITS, min(MOST_BITS, (size // BYTES_PER_BUCKET).bit_length() + 1))
-    counted = stored(bucket_counts(spoken, bits), "collocation-buckets")
-    totals = counted.where("part = 2").groupBy("lang").agg(F.sum("n").alias("n"))
-    maps = _bitmaps(frequent_buckets(counted, least), bits)
+    bits = max(LEAST_BITS, min(MOST_BITS, (size // BYTES_PER_BUCKET).bit_length()))
+    counted = stored(bucket_counts(spoken, bits, longest, least), "collocation-buckets")
+    totals = counted.where("part = 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    maps = _bitmaps(frequent_buckets(counted, least), bits, longest)
     found = windows(spoken, maps, bits, longest)
     phrases = stored(phrase_counts(found, longest, least), "collocation-phrases")
     kept = best_cuts(phrases, totals, longest).join(
