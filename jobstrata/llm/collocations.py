@@ -227,8 +227,10 @@ def windows(spoken: DataFrame, maps: np.ndarray, bits: int, longest: int) -> Dat
                 at = np.flatnonzero(able & whole)
                 bucket = _bucket(hashes[at], bits)
                 bit = shared.value[length - 1][bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)
-                whole = np.zeros(len(able), bool)
+                shorter, whole = whole, np.zeros(len(able), bool)
                 whole[at] = (bit & 1).astype(bool)
+                if length > 1:  # what follows the first word is frequent as well
+                    whole[:-1] &= shorter[1:]
                 lengths[whole] = length
             yield from _counted(own, lengths, longest, names)
 
