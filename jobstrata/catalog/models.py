@@ -14,6 +14,7 @@ from jobstrata.plans.paymodel import (
     coefficient_table,
     compare_models,
     feature_table,
+    fit_forest,
     fit_full,
 )
 from jobstrata.presets import postings as preset
@@ -67,10 +68,10 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir)
-    return coefficient_table(table, fit_full(table, "logistic"), fit_full(table, "forest"))
+    return coefficient_table(table, fit_full(table), fit_forest(table))
 
 
 @query()
 def logistic_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir)
-    return confusion(fit_full(table, "logistic").transform(table.rows.filter("is_test")))
+    return confusion(fit_full(table).transform(table.rows.filter("is_test")))

@@ -14,8 +14,9 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -29,6 +30,7 @@ from jobstrata.operators.features import (
     one_hot,
     stratified_split,
 )
+from jobstrata.operators.forest import ForestPlan, feature_sets, grow_forest
 from jobstrata.operators.items import frequent_items
 from jobstrata.presets import postings as preset
 from jobstrata.session import checkpointed
@@ -104,30 +106,44 @@ def fit_logistic(train: DataFrame, n: int, c: float = 1.0) -> Model:
     ).fit(train)
 
 
+@dataclass(frozen=True)
+class Forest:
+    """What the trees of some rounds say: ``active, round, share`` (mean share of label 1 of
+    each set of features) and ``round, feature, importance``."""
+
+    shares: DataFrame
+    importance: DataFrame
+
+
 def fit_forest(
-    train: DataFrame, trees: int = preset.FOREST_TREES, depth: int = 30, seed: int = preset.SEED
-) -> Model:
-    return RandomForestClassifier(
-        numTrees=trees,
-        minInstancesPerNode=preset.FOREST_LEAF,
-        featureSubsetStrategy="sqrt",
-        maxDepth=depth,
-        seed=seed,
-    ).fit(train)
+    table: FeatureTable,
+    trees: int = preset.FOREST_TREES,
+    depth: int = preset.FOREST_DEPTH,
+    folds: int = preset.FOLDS,
+    rounds: Sequence[int] = (-1,),
+    seed: int = preset.SEED,
+) -> Forest:
+    """Random forests for every round: the fold left out, or -1 for the whole training set.
+
+    They are grown on the distinct feature sets and their class counts, see
+    ``operators.forest``.
+    """
+    n = len(table.names)
+    arr = vector_to_array("features")
+    on = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get(arr, i) != 0)
+    rows = table.rows.select(on.alias("active"), "fold", "label")
+    plan = ForestPlan(trees, tuple(rounds), folds, depth, preset.FOREST_LEAF, seed, n)
+    return Forest(*grow_forest(feature_sets(rows, folds), plan))
 
 
 def training_set(table: FeatureTable) -> DataFrame:
     return table.rows.filter("not is_test")
 
 
-def fit_full(
-    table: FeatureTable, kind: str, trees: int = preset.FOREST_TREES, depth: int = 30
-) -> Model:
-    """One model on the whole training set; ``kind`` is ``logistic`` or ``forest``."""
+def fit_full(table: FeatureTable) -> Model:
+    """Logistic regression on the whole training set."""
     train = training_set(table)
-    return fit_logistic(train, train.count()) if kind == "logistic" else fit_forest(
-        train, trees, depth
-    )
+    return fit_logistic(train, train.count())
 
 
 def _round_of(rows: DataFrame) -> DataFrame:
@@ -155,15 +171,26 @@ def majority_predictions(rows: DataFrame, folds: int = preset.FOLDS) -> DataFram
     )
 
 
-def fitted_predictions(
+def forest_predictions(
     table: FeatureTable,
-    kind: str,
     trees: int = preset.FOREST_TREES,
-    depth: int = 30,
+    depth: int = preset.FOREST_DEPTH,
     folds: int = preset.FOLDS,
-    parallelism: int = 2,
-) -> tuple[DataFrame, Model]:
-    """The same for a fitted model, with the model of the whole training set.
+) -> DataFrame:
+    """The same for the forests of all rounds, which are grown together."""
+    forest = fit_forest(table, trees, depth, folds, range(-1, folds))
+    n = len(table.names)
+    arr = vector_to_array("features")
+    on = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get(arr, i) != 0)
+    rows = _round_of(table.rows.withColumn("active", on)).select("active", "round", "label")
+    said = (F.col("share") > 0.5).cast("double").alias("prediction")
+    return rows.join(forest.shares, ["active", "round"]).select(F.col("round").alias("fold"), "label", said)
+
+
+def logistic_predictions(
+    table: FeatureTable, folds: int = preset.FOLDS, parallelism: int = 2
+) -> DataFrame:
+    """The same for logistic regressions, one for each round.
 
     Every round is a set of distributed jobs over the checkpointed features; a
     few rounds at a time keep the cluster busy while one waits for its driver.
@@ -177,9 +204,7 @@ def fitted_predictions(
 
     def one_round(held_out: int) -> Model:
         train = rows.filter((F.col("round") >= 0) & (F.col("round") != held_out))
-        if kind == "logistic":
-            return fit_logistic(train, total - sizes.get(held_out, 0))
-        return fit_forest(train, trees, depth)
+        return fit_logistic(train, total - sizes.get(held_out, 0))
 
     rounds = range(-1, folds)
     with ThreadPool(parallelism) as pool:
@@ -191,14 +216,14 @@ def fitted_predictions(
         )
         for r, model in zip(rounds, models)
     ]
-    return reduce(DataFrame.unionByName, scored), models[0]
+    return reduce(DataFrame.unionByName, scored)
 
 
 def compare_models(
     table: FeatureTable,
     role_prefix: str = "role: ",
     trees: int = preset.FOREST_TREES,
-    depth: int = 30,
+    depth: int = preset.FOREST_DEPTH,
     folds: int = preset.FOLDS,
     parallelism: int = 2,
 ) -> DataFrame:
@@ -210,16 +235,11 @@ def compare_models(
     cross-validation to test in standard errors.
     """
     roles = table.only(role_prefix)
-    fitted = {
-        "Logistic, role family only": (roles, "logistic"),
-        "Logistic, all features": (table, "logistic"),
-        "Random forest, all features": (table, "forest"),
-    }
     predictions = {
-        "Majority-class baseline": (table, majority_predictions(table.rows, folds))
-    } | {
-        name: (source, fitted_predictions(source, kind, trees, depth, folds, parallelism)[0])
-        for name, (source, kind) in fitted.items()
+        "Majority-class baseline": (table, majority_predictions(table.rows, folds)),
+        "Logistic, role family only": (roles, logistic_predictions(roles, folds, parallelism)),
+        "Logistic, all features": (table, logistic_predictions(table, folds, parallelism)),
+        "Random forest, all features": (table, forest_predictions(table, trees, depth, folds)),
     }
     labelled = [
         rows.withColumns({"model": F.lit(name), "features": F.lit(len(source.names))})
@@ -258,22 +278,32 @@ def best_model(scores: DataFrame, metric: str = "test_accuracy") -> DataFrame:
     return scores.orderBy(F.desc(metric), F.desc("model")).limit(1)
 
 
-def coefficient_table(table: FeatureTable, logistic: Model, forest: Model) -> DataFrame:
+def coefficient_table(table: FeatureTable, logistic: Model, forest: Forest) -> DataFrame:
     """``feature, logistic_coefficient, forest_importance, absolute_coefficient`` and
     each feature's rank under either model, strongest coefficient first.
 
-    Coefficients are on the standardised scale. The table has one row per feature.
+    Coefficients are on the standardised scale. One row per feature: names, coefficients
+    and importances are tables joined on the feature's number.
     """
+    spark = table.rows.sparkSession
     spread = training_set(table).agg(Summarizer.std(F.col("features")).alias("std"))
-    std = spread.first()["std"].toArray()
-    weights = logistic.coefficients.toArray() * std
-    rows = [
-        (name, float(w), float(i))
-        for name, w, i in zip(table.names, weights, forest.featureImportances.toArray())
-    ]
-    weighted = table.rows.sparkSession.createDataFrame(
-        rows, "feature string, logistic_coefficient double, forest_importance double"
-    ).withColumn("absolute_coefficient", F.abs("logistic_coefficient"))
+    spread = spread.select(F.posexplode(vector_to_array("std")).alias("feature", "std"))
+    weights = spark.createDataFrame(
+        enumerate(map(float, logistic.coefficients.toArray())), "feature int, weight double"
+    )
+    names = spark.createDataFrame(enumerate(table.names), "feature int, name string")
+    importance = forest.importance.where("round = -1").select("feature", "importance")
+    weighted = (
+        names.join(weights, "feature")
+        .join(spread, "feature")
+        .join(importance, "feature", "left")
+        .select(
+            F.col("name").alias("feature"),
+            (F.col("weight") * F.col("std")).alias("logistic_coefficient"),
+            F.coalesce("importance", F.lit(0.0)).alias("forest_importance"),
+        )
+        .withColumn("absolute_coefficient", F.abs("logistic_coefficient"))
+    )
     return rank_disagreement(weighted).orderBy(
         F.desc("absolute_coefficient"), F.asc("feature")
     )

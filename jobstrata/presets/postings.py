@@ -160,6 +160,7 @@ TEST_SHARE = 0.25
 FOLDS = 5
 SEED = 688
 FOREST_TREES = 500
+FOREST_DEPTH = 30
 FOREST_LEAF = 3
 LOGISTIC_ITERATIONS = 2000
 

@@ -1,5 +1,7 @@
 """Splits, features and fitted models on data with a planted signal."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from jobstrata.operators.features import (
     one_hot,
     stratified_split,
 )
+from jobstrata.operators import forest
 from jobstrata.operators.evaluate import binary_metrics, confusion
 from jobstrata.plans import paymodel as pm
 from jobstrata.presets import postings as preset
@@ -113,7 +116,7 @@ def test_models_find_the_planted_signal(table):
 
 def test_coefficients_point_the_right_way(table):
     weights = pm.coefficient_table(
-        table, pm.fit_full(table, "logistic"), pm.fit_full(table, "forest", 10, 5)
+        table, pm.fit_full(table), pm.fit_forest(table, 10, 5)
     )
     rows = {r["feature"]: r for r in weights.collect()}
     assert len(rows) == len(table.names)
@@ -135,15 +138,162 @@ def test_preset_seed_gives_the_same_split_twice(spark):
     assert preset.SEED == 688
 
 
-@pytest.mark.parametrize("name, fits", [("model_comparison", preset.FOLDS + 1), ("model_coefficients", 1)])
-def test_queries_fit_the_preset_forest(spark, monkeypatch, name, fits):
-    """The trees and depth asked for, with a small forest fitted in their place."""
-    asked, fit = [], pm.fit_forest
+def test_registered_comparison_grows_the_preset_forest(spark):
+    """500 trees of depth 30 for each of the six rounds, beside the other models."""
+    scores = {r["model"]: r for r in REGISTRY["model_comparison"].run(spark, SMOKE_DIR).collect()}
+    assert (preset.FOREST_TREES, preset.FOREST_DEPTH) == (500, 30)
+    assert len(scores) == 4 and scores["Random forest, all features"]["test_accuracy"] > 0
+    weights = REGISTRY["model_coefficients"].run(spark, SMOKE_DIR).collect()
+    assert sum(r["forest_importance"] for r in weights) == pytest.approx(1.0)
 
-    def small(train, trees, depth):
-        asked.append((trees, depth))
-        return fit(train, 2, 2)
 
-    monkeypatch.setattr(pm, "fit_forest", small)
-    REGISTRY[name].run(spark, SMOKE_DIR)
-    assert asked == [(preset.FOREST_TREES, 30)] * fits
+def sets_of(seed=2, n=400, width=7):
+    """Sets of features with counts; label 1 where features 1 and 2 differ, with some noise."""
+    rng = np.random.default_rng(seed)
+    sets = {}
+    for _ in range(n):
+        on = tuple(int(i) for i in np.flatnonzero(rng.random(width) < 0.5))
+        label = ((1 in on) != (2 in on)) ^ (rng.random() < 0.05)
+        counts = sets.setdefault(on, [0] * 8)
+        counts[2 * int(rng.integers(0, 4)) + int(label)] += 1
+    return sets
+
+
+def plan_of(**given):
+    return forest.ForestPlan(**{"trees": 20, "rounds": (-1, 0, 1, 2), "folds": 3, "depth": 30, "leaf": 2, "seed": 5, "features": 7} | given)
+
+
+def grown(spark, sets, plan):
+    df = spark.createDataFrame([(list(k), v) for k, v in sets.items()], "active array<int>, counts array<long>")
+    shares, importance = forest.grow_forest(df, plan)
+    return (
+        {(tuple(r["active"]), r["round"]): r["share"] for r in shares.collect()},
+        {(r["round"], r["feature"]): r["importance"] for r in importance.collect()},
+    )
+
+
+def tree_by_hand(sets, weights, plan, tree):
+    """One tree grown node by node, with the same draws; (share of each set, gain by feature)."""
+    shares, gains = {}, {}
+
+    def gini(a, b):
+        return 2 * a * b / (a + b) if a + b else 0.0
+
+    def grow(members, heap, depth):
+        w = [sum(weights[s][c] for s in members) for c in (0, 1)]
+        best = None
+        if min(w) > 0 and depth < plan.depth:
+            varying = []
+            for f in range(plan.features):
+                one = [sum(weights[s][c] for s in members if f in s) for c in (0, 1)]
+                if 0 < sum(one) < sum(w):
+                    node = np.array([(tree << 40) | heap])
+                    drawn = forest._mixed(forest._mixed(node + plan.seed) ^ np.uint64(f))[0]
+                    varying.append((drawn, f, one))
+            for _, f, one in sorted(varying)[: plan.tried]:
+                zero = [w[0] - one[0], w[1] - one[1]]
+                gain = gini(*w) - gini(*zero) - gini(*one)
+                if min(sum(one), sum(zero)) >= plan.leaf and gain > 1e-9:
+                    if best is None or (gain, -f) > (best[0], -best[1]):
+                        best = (gain, f)
+        if best is None:
+            for s in members:
+                shares[s] = w[1] / sum(w)
+            return
+        gains[best[1]] = gains.get(best[1], 0) + best[0]
+        for side in (0, 1):
+            grow([s for s in members if (best[1] in s) == side], 2 * heap + side, depth + 1)
+
+    grow(list(sets), 1, 0)
+    return shares, gains
+
+
+def test_forest_by_hand(spark):
+    sets, plan = sets_of(), plan_of()
+    got, importance = grown(spark, sets, plan)
+    ordered = sorted(sets)
+    members = pa.array([[{"active": list(s), "counts": sets[s]} for s in ordered]],
+        pa.list_(pa.struct([("active", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])))
+    chunk = forest.Chunk(members[0], plan, 0)
+    for i, left_out in enumerate(plan.rounds):
+        total, gain = dict.fromkeys(ordered, 0.0), {}
+        for tree in range(i * plan.trees, (i + 1) * plan.trees):
+            weights = dict(zip(ordered, chunk.weights(tree).tolist()))
+            shares, gains = tree_by_hand(ordered, weights, plan, tree)
+            whole = sum(gains.values())
+            for s in ordered:
+                total[s] += shares[s] / plan.trees
+            for f, g in gains.items():
+                gain[f] = gain.get(f, 0) + g / whole
+        for s in ordered:
+            assert got[s, left_out] == pytest.approx(total[s], abs=1e-6)
+        for f, g in gain.items():
+            assert importance[left_out, f] == pytest.approx(g / sum(gain.values()))
+
+
+def test_forest_by_levels_is_the_same(spark, monkeypatch):
+    """Several chunks add up their counts level by level; weights do not depend on the chunks."""
+    sets, plan = sets_of(n=150), plan_of(trees=4)
+
+    def weights(self, tree):
+        left_out = plan.rounds[tree // plan.trees]
+        cells = [[2 * f + c for f in range(plan.folds) if f != left_out] for c in (0, 1)]
+        return np.stack([self.counts[:, c].sum(1) for c in cells], 1)
+
+    whole = grown_in_process(sets, plan, weights)
+    monkeypatch.setattr(forest.Chunk, "weights", weights)
+    growths = [forest.Growth(chunk, range(16)) for chunk in chunks_of(sets, plan, 3)]
+    while True:
+        parts = np.concatenate([g.histogram() for g in growths])
+        total = forest._summed(parts["node"], parts["feature"], np.stack([parts["w0"], parts["w1"]], 1))
+        splits = forest.chosen(total, plan)
+        if not len(splits):
+            break
+        for g in growths:
+            g.move(splits)
+    for g in growths:
+        for i, s in enumerate(g.chunk.sets):
+            assert np.allclose(g.share[:, i], whole[s])
+
+
+def chunks_of(sets, plan, n):
+    kind = pa.list_(pa.struct([("active", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))]))
+    out = []
+    for i in range(n):
+        own = sorted(sets)[i::n]
+        members = pa.array([[{"active": list(s), "counts": sets[s]} for s in own]], kind)
+        out.append(forest.Chunk(members[0], plan, i))
+        out[-1].sets = own
+    return out
+
+
+def grown_in_process(sets, plan, weights):
+    chunk = chunks_of(sets, plan, 1)[0]
+    shares = {s: [] for s in chunk.sets}
+    chunk.weights = lambda tree: weights(chunk, tree)
+    for tree in range(16):
+        got, _ = tree_by_hand(chunk.sets, dict(zip(chunk.sets, chunk.weights(tree).tolist())), plan, tree)
+        for s in chunk.sets:
+            shares[s].append(got[s])
+    return shares
+
+
+def test_forest_of_many_chunks(spark, monkeypatch):
+    """The level-wise jobs learn the planted rule and share out all importance."""
+    monkeypatch.setattr(forest, "CHUNK_SETS", 30)
+    sets, plan = sets_of(n=3000), plan_of(trees=30, rounds=(-1, 1))
+    got, importance = grown(spark, sets, plan)
+    assert set(got) == {(s, r) for s in sets for r in plan.rounds}
+    right = [(got[s, -1] > 0.5) == ((1 in s) != (2 in s)) for s in sets]
+    assert np.mean(right) > 0.9
+    for r in plan.rounds:
+        own = {f: g for (of, f), g in importance.items() if of == r}
+        assert sum(own.values()) == pytest.approx(1.0)
+        assert own[1] + own[2] > 0.6
+
+
+def test_forest_of_nothing(spark):
+    got, importance = grown(spark, {}, plan_of())
+    assert got == {} and importance == {}
+    got, importance = grown(spark, {(): [3, 1, 0, 0, 0, 0, 0, 0], (1,): [0] * 8}, plan_of(trees=200))
+    assert importance == {} and got[(), -1] == pytest.approx(0.25, abs=0.06)
