@@ -10,9 +10,12 @@ from jobstrata.functions.cells import share
 from jobstrata.operators.items import with_marker
 from jobstrata.operators.joins import keep_together, same_keys
 from jobstrata.operators.quantiles import (
-    bucket_of,
+    bucket_counts,
+    narrowed,
+    order_key,
     quantiles,
     quantiles_of_counts,
+    select_ranks,
     value_counts,
 )
 
@@ -108,7 +111,7 @@ def role_comparison(
         },
     ).withColumn("is_total", F.lit(0))
     if overall:
-        together = counted.groupBy("measure", "bucket", "x").agg(F.sum("c").alias("c"))
+        together = counted.groupBy("measure", "key", "x").agg(F.sum("c").alias("c"))
         counted = counted.unionByName(
             together.withColumns({"role": F.lit(None).cast("string"), "is_total": F.lit(1)})
         )
@@ -138,9 +141,10 @@ def role_comparison(
 def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
     """``item, n_with, median_with, n_without, median_without, difference`` per listed item.
 
-    ``items`` should hold only the items of interest (a bounded list). The rows
-    without an item are never listed: their value counts are those of all rows
-    minus those of the rows with it.
+    ``items`` should hold only the items of interest (a bounded list). The rows without an
+    item are never listed, and no value is listed once for each item: at every step of the
+    selection an item's counts without it are those of all rows in a bucket minus those with
+    it, first for all buckets of the leading bits, then only inside the buckets found.
     """
     paid = df.select(F.col(items).alias("items"), F.col(value).cast("double").alias("x")).filter(
         F.col("x").isNotNull()
@@ -148,23 +152,36 @@ def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
     is_marker = F.col("item").isNull()
     counted = (
         paid.select("x", F.explode(with_marker(F.col("items"))).alias("item"))
-        .groupBy(bucket_of(F.col("x")).alias("bucket"), "x", "item")
+        .groupBy("x", "item")
         .agg(F.count_if(is_marker).alias("rows"), F.count_if(~is_marker).alias("c"))
+        .withColumn("key", order_key(F.col("x")))
     )
     counted = keep_together(counted, "rows", "c")
-    cells = ["bucket", "x", "item"]
-    everyone = counted.filter(F.col("rows") > 0).select(*cells, F.col("rows").alias("c"))
-    having = counted.filter(F.col("c") > 0).select(*cells, "c")
+    everyone = counted.filter(F.col("rows") > 0).select("key", F.col("rows").alias("c"))
+    having = counted.filter(F.col("c") > 0).select("item", "key", "c")
     wanted = having.agg(F.collect_set("item")).scalar()
-    all_for_each = everyone.withColumn("item", F.explode(wanted))
-    without = (
-        all_for_each.unionByName(having.withColumn("c", -F.col("c")))
-        .groupBy("bucket", "x", "item")
-        .agg(F.sum("c").alias("c"))
-        .filter(F.col("c") > 0)
+    count_with = bucket_counts(having, ["item"], F.col("c"))
+
+    def count_without(shift: int, found: DataFrame | None, taken: int) -> DataFrame:
+        bucket = F.shiftright("key", shift).alias("bucket")
+        with_it = count_with(shift, found, taken).withColumn("c", -F.col("c"))
+        if found is None:
+            total = everyone.groupBy(bucket).agg(F.sum("c").alias("c"))
+            total = total.withColumn("item", F.explode(wanted))
+            group, kept = ["item", "bucket"], []
+        else:
+            total = narrowed(everyone, found, [], taken, small=False).groupBy(
+                "item", "above", bucket
+            ).agg(F.sum("c").alias("c"), *[F.first(x).alias(x) for x in ("n", "base", "ranks")])
+            group, kept = ["item", "above", "bucket"], ["n", "base", "ranks"]
+        left = total.unionByName(with_it).groupBy(*group).agg(
+            F.sum("c").alias("c"), *[F.first(x).alias(x) for x in kept]
+        )
+        return left.filter(F.col("c") > 0)
+
+    long = select_ranks(count_with, ["item"], [0.5]).withColumn("has", F.lit(True)).unionByName(
+        select_ranks(count_without, ["item"], [0.5]).withColumn("has", F.lit(False))
     )
-    both = having.withColumn("has", F.lit(True)).unionByName(without.withColumn("has", F.lit(False)))
-    long = quantiles_of_counts(both, ["item", "has"], [0.5])
     return long.groupBy("item").agg(
         F.max(F.when(F.col("has"), F.col("n"))).alias("n_with"),
         F.max(F.when(F.col("has"), F.col("quantile"))).alias("median_with"),

@@ -3,6 +3,7 @@
 import math
 import random
 import statistics
+import struct
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -20,7 +21,13 @@ from jobstrata.operators.market import (
     skill_premium,
 )
 from jobstrata.operators.profile import dominant_values, repeat_members, repeat_summary
-from jobstrata.operators.quantiles import medians, quantiles
+from jobstrata.operators.quantiles import (
+    approximate_quantiles,
+    medians,
+    order_key,
+    quantiles,
+    value_of,
+)
 from jobstrata.operators.ranking import best_per_group, hash_positions, largest_with_ties
 from jobstrata.presets import postings as preset
 
@@ -64,6 +71,64 @@ def test_median_of_any_floats(spark, values):
     assert got == pytest.approx(statistics.median(values), rel=1e-9, abs=1e-6)
 
 
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1023, 1e-300, 0.1, 1 - 2**-53, 1.0, 1 + 2**-52, 2.0,
+    2 - 2**-52, 3.0, 1e15, 2.0**53 - 1, 1e308, float.fromhex("0x1.fffffffffffffp+1023"), math.inf]
+
+
+def test_order_keys_follow_the_doubles(spark):
+    rng = random.Random(4)
+    values = {s * x for x in EDGES for s in (1, -1)}
+    values |= {struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)}
+    values |= {2.0**e * f for e in range(-1074, 1024) for f in (1, 1 - 2**-53, 1 + 2**-52)}
+    values = sorted(x for x in values if not math.isnan(x))
+    df = spark.createDataFrame([(x,) for x in [*values, math.nan]], "x double")
+    keyed = df.withColumn("key", order_key(F.col("x"))).withColumn("back", value_of(F.col("key"))).collect()
+    for r in keyed[:-1]:
+        assert r["back"] == r["x"]
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["x"])))[0]
+        assert r["key"] == (-bits if r["x"] < 0 else bits)
+    assert math.isnan(keyed[-1]["back"]) and keyed[-1]["key"] > max(r["key"] for r in keyed[:-1])
+
+
+CROWDED = {
+    "narrow": [i * 9e-12 for i in range(3000)],
+    "times": [1.7e9 + i % 1000 for i in range(3000)],
+    "nan": [1.0, 2.0, 3.0, math.nan],
+    "infinite": [-math.inf, -1.0, 0.0, math.inf, math.inf],
+    "all infinite": [math.inf, math.inf],
+    "mixed": [math.nan, -math.inf, 1e-310, -1e-310, 1e300, 7.0, 7.0],
+    "one": [-0.0],
+}
+
+
+@pytest.mark.parametrize("few_groups", [False, True])
+def test_quantiles_equal_percentile_on_any_distribution(spark, few_groups):
+    df = spark.createDataFrame([(k, x) for k, v in CROWDED.items() for x in v], "k string, x double")
+    probs = [0.0, 0.3, 0.5, 0.75, 1.0]
+    got = {(r["k"], r["prob"]): r["quantile"] for r in quantiles(df, ["k"], {"x": F.col("x")}, probs, few_groups).collect()}
+    want = df.groupBy("k").agg(F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).collect()
+    assert len(got) == len(CROWDED) * len(probs)
+    for r in want:
+        for p, q in zip(probs, r["q"]):
+            assert got[r["k"], p] == pytest.approx(q, rel=1e-12, nan_ok=True), (r["k"], p)
+
+
+@pytest.mark.parametrize("size", [50, 400])
+def test_approximate_quantiles_keep_their_rank(spark, size):
+    rng = random.Random(size)
+    rows = [("hot" if i % 4 else "b", rng.choice([rng.gauss(0, 1), rng.expovariate(1e-9), 3.0])) for i in range(20000)]
+    df = spark.createDataFrame([*rows, ("b", None), ("b", math.nan), ("none", None)], "k string, x double").repartition(7)
+    found = approximate_quantiles(df, ["k"], {"x": F.col("x")}, [0.0, 0.1, 0.5, 0.9, 1.0], size).collect()
+    assert {r["k"] for r in found} == {"hot", "b"} and len(found) == 10
+    for r in found:
+        values = [x for k, x in rows if k == r["k"]]
+        assert r["n"] == len(values) and r["quantile"] in values
+        low = sum(x < r["quantile"] for x in values) / len(values)
+        high = sum(x <= r["quantile"] for x in values) / len(values)
+        error = 1.5 * 2.3 / size**0.9
+        assert low - error <= r["prob"] <= high + error
+
+
 def test_medians_of_empty_input(spark):
     df = spark.createDataFrame([("a", None)], "k string, x double")
     assert medians(df, ["k"], {"x": F.col("x")}).collect() == []
