@@ -35,7 +35,8 @@ from jobstrata.operators.market import (
     skill_premium,
     subset_vs_all,
 )
-from jobstrata.operators.quantiles import median_value
+from jobstrata.operators.joins import same_keys
+from jobstrata.operators.quantiles import approximate_quantiles, median_value
 from jobstrata.plans.baseline import market_tables
 from jobstrata.plans.panel import build_panel
 from jobstrata.presets import postings as preset
@@ -340,6 +341,33 @@ def running_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cumulative_share(table(spark, sf_dir, "documents"), F.col("source"), 5)
 
 
+_SKETCH_SIZE = 400
+
+
+@query(
+    """WITH p AS (SELECT unnest([0e0, 0.25, 0.5, 0.75, 1e0]) AS prob)
+    SELECT c_mktsegment, prob, count(o_totalprice) AS n, true AS within
+    FROM orders JOIN customer ON o_custkey = c_custkey, p GROUP BY c_mktsegment, prob"""
+)
+def approximate_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles from sketches, each with whether its exact rank is within the error stated."""
+    rows = sales(spark, sf_dir)
+    price, by = F.col("o_totalprice"), ["c_mktsegment"]
+    found = approximate_quantiles(rows, by, {"x": price}, [0.0, 0.25, 0.5, 0.75, 1.0], _SKETCH_SIZE)
+    asked = found.groupBy(*by).agg(F.collect_list(F.struct("prob", "quantile")).alias("asked"))
+    # five values a segment, and the segments are a closed list
+    met = same_keys(rows.select(*by, price.alias("x")), F.broadcast(asked), by)
+    each = met.select(*by, "x", F.inline("asked"))
+    ranks = each.groupBy(*by, "prob").agg(
+        F.count("x").alias("n"),
+        (F.count_if(F.col("x") < F.col("quantile")) / F.count("x")).alias("below"),
+        (F.count_if(F.col("x") <= F.col("quantile")) / F.count("x")).alias("upto"),
+    )
+    error = 2.3 / _SKETCH_SIZE**0.9
+    within = (F.col("below") - error <= F.col("prob")) & (F.col("prob") <= F.col("upto") + error)
+    return ranks.select(*by, "prob", "n", within.alias("within"))
+
+
 # The same tables read off the whole cleaned panel.
 
 

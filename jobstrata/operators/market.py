@@ -10,9 +10,10 @@ from jobstrata.functions.cells import share
 from jobstrata.operators.items import with_marker
 from jobstrata.operators.joins import keep_together, same_keys
 from jobstrata.operators.quantiles import (
+    KNOWN,
     bucket_counts,
+    keyed,
     narrowed,
-    order_key,
     quantiles,
     quantiles_of_counts,
     select_ranks,
@@ -146,15 +147,14 @@ def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
     selection an item's counts without it are those of all rows in a bucket minus those with
     it, first for all buckets of the leading bits, then only inside the buckets found.
     """
-    paid = df.select(F.col(items).alias("items"), F.col(value).cast("double").alias("x")).filter(
+    paid = df.select(F.col(items).alias("items"), F.inline(keyed(F.col(value)))).filter(
         F.col("x").isNotNull()
     )
     is_marker = F.col("item").isNull()
     counted = (
-        paid.select("x", F.explode(with_marker(F.col("items"))).alias("item"))
-        .groupBy("x", "item")
+        paid.select("key", F.explode(with_marker(F.col("items"))).alias("item"))
+        .groupBy("key", "item")
         .agg(F.count_if(is_marker).alias("rows"), F.count_if(~is_marker).alias("c"))
-        .withColumn("key", order_key(F.col("x")))
     )
     counted = keep_together(counted, "rows", "c")
     everyone = counted.filter(F.col("rows") > 0).select("key", F.col("rows").alias("c"))
@@ -164,20 +164,22 @@ def skill_premium(df: DataFrame, items: str, value: str) -> DataFrame:
 
     def count_without(shift: int, found: DataFrame | None, taken: int) -> DataFrame:
         bucket = F.shiftright("key", shift).alias("bucket")
-        with_it = count_with(shift, found, taken).withColumn("c", -F.col("c"))
         if found is None:
-            total = everyone.groupBy(bucket).agg(F.sum("c").alias("c"))
-            total = total.withColumn("item", F.explode(wanted))
-            group, kept = ["item", "bucket"], []
+            group, cells = ["item"], everyone.groupBy(bucket).agg(F.sum("c").alias("c"))
+            cells = cells.withColumn("item", F.explode(wanted))
+            with_it = having.groupBy("item", bucket).agg(F.sum("c").alias("c"))
         else:
-            total = narrowed(everyone, found, [], taken, small=False).groupBy(
-                "item", "above", bucket
-            ).agg(F.sum("c").alias("c"), *[F.first(x).alias(x) for x in ("n", "base", "ranks")])
-            group, kept = ["item", "above", "bucket"], ["n", "base", "ranks"]
-        left = total.unionByName(with_it).groupBy(*group).agg(
-            F.sum("c").alias("c"), *[F.first(x).alias(x) for x in kept]
+            group = ["item", *KNOWN]
+            cells = narrowed(everyone, found, [], taken, small=False)
+            cells = cells.groupBy(*group, bucket).agg(F.sum("c").alias("c"))
+            with_it = narrowed(having, found, ["item"], taken, small=False)
+            with_it = with_it.groupBy(*group, bucket).agg(F.sum("c").alias("c"))
+        return (
+            cells.unionByName(with_it.withColumn("c", -F.col("c")))
+            .groupBy(*group, "bucket")
+            .agg(F.sum("c").alias("c"))
+            .filter(F.col("c") > 0)
         )
-        return left.filter(F.col("c") > 0)
 
     long = select_ranks(count_with, ["item"], [0.5]).withColumn("has", F.lit(True)).unionByName(
         select_ranks(count_without, ["item"], [0.5]).withColumn("has", F.lit(False))

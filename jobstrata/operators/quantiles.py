@@ -36,14 +36,13 @@ def order_key(x: Column) -> Column:
     guess = F.floor(F.log2(F.greatest(size, F.lit(_LEAST_NORMAL))))
     ratio = size / F.pow(F.lit(2.0), guess)
     # the logarithm can be off by one next to a power of two
-    exponent = (
-        F.when(ratio >= 2, guess + 1).when((ratio < 1) & (guess > -1022), guess - 1).otherwise(guess)
-    )
-    exponent = F.least(F.greatest(exponent, F.lit(-1022)), F.lit(1023))
+    off = F.when(ratio >= 2, 1).when((ratio < 1) & (size >= _LEAST_NORMAL), -1).otherwise(0)
+    exponent = F.least(guess + off, F.lit(1023))
     fraction = ((size / F.pow(F.lit(2.0), exponent) - 1) * F.lit(float(_FRACTION))).cast("bigint")
     finite = (exponent + 1023) * F.lit(_FRACTION) + fraction
-    key = F.when(F.abs(x) > _GREATEST, F.lit(_INFINITY)).otherwise(finite)
-    return F.when(F.isnan(x), F.lit(_INFINITY + 1)).when(x < 0, -key).otherwise(key)
+    key = F.when(F.abs(x) <= _GREATEST, finite).otherwise(F.lit(_INFINITY))
+    sign = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1))
+    return F.when(F.isnan(x), F.lit(_INFINITY + 1)).otherwise(sign * key)
 
 
 def value_of(key: Column) -> Column:
@@ -60,21 +59,28 @@ def value_of(key: Column) -> Column:
     return F.when(key > _INFINITY, F.lit(float("nan"))).when(key < 0, -value).otherwise(value)
 
 
+def keyed(x: Column) -> Column:
+    """An array to ``inline``: the value as double and its key, which is so worked out once,
+    not again wherever a plan uses it."""
+    x = x.cast("double")
+    return F.array(F.struct(x.alias("x"), order_key(x).alias("key")))
+
+
 def _long(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """``by, measure, x``: one row per stated value."""
+    """``by, measure, x, key``: one row per stated value."""
     cells = F.array(
         *[
             F.struct(F.lit(name).alias("measure"), col.cast("double").alias("x"))
             for name, col in values.items()
         ]
     )
-    return df.select(*by, F.inline(cells)).filter(F.col("x").isNotNull())
+    stated = df.select(*by, F.inline(cells)).filter(F.col("x").isNotNull())
+    return stated.select(*by, "measure", F.inline(keyed(F.col("x"))))
 
 
 def value_counts(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    """``by, measure, x, c, key``: how often each stated value occurs."""
-    counted = _long(df, by, values).groupBy(*by, "measure", "x").agg(F.count("*").alias("c"))
-    return counted.withColumn("key", order_key(F.col("x")))
+    """``by, measure, x, key, c``: how often each stated value occurs."""
+    return _long(df, by, values).groupBy(*by, "measure", "x", "key").agg(F.count("*").alias("c"))
 
 
 def _ranks(probs: Sequence[float]) -> Column:
@@ -131,8 +137,13 @@ def select_ranks(counts: Counts, keys: Sequence[str], probs: Sequence[float]) ->
     )
 
 
+#: what is known of a bucket found; it goes along in the grouping, so a step reads the last once
+KNOWN = ("above", "n", "base", "ranks")
+
+
 def narrowed(rows: DataFrame, found: DataFrame, keys: Sequence[str], taken: int, small: bool) -> DataFrame:
-    """``rows`` that lie in the buckets found, whose keys leave out ``taken`` bits."""
+    """``rows`` that lie in the buckets found, whose keys leave out ``taken`` bits, with what is
+    known of these."""
     placed = rows.withColumn("above", F.shiftright("key", taken))
     return same_keys(placed, F.broadcast(found) if small else found, [*keys, "above"])
 
@@ -142,11 +153,9 @@ def bucket_counts(rows: DataFrame, keys: Sequence[str], c: Column, small: bool =
 
     def counts(shift: int, found: DataFrame | None, taken: int) -> DataFrame:
         bucket = F.shiftright("key", shift).alias("bucket")
-        if found is None:
-            return rows.groupBy(*keys, bucket).agg(F.sum(c).alias("c"))
-        kept = [F.first(x).alias(x) for x in ("n", "base", "ranks")]
-        inside = narrowed(rows, found, keys, taken, small)
-        return inside.groupBy(*keys, "above", bucket).agg(F.sum(c).alias("c"), *kept)
+        inside = rows if found is None else narrowed(rows, found, keys, taken, small)
+        group = [*keys] if found is None else [*keys, *KNOWN]
+        return inside.groupBy(*group, bucket).agg(F.sum(c).alias("c"))
 
     return counts
 
@@ -173,7 +182,7 @@ def quantiles(
     """
     keys = [*by, "measure"]
     if few_groups or not by:
-        rows = _long(df, by, values).withColumn("key", order_key(F.col("x")))
+        rows = _long(df, by, values)
         return select_ranks(bucket_counts(rows, keys, F.lit(1), small=True), keys, probs)
     return quantiles_of_counts(value_counts(df, by, values), keys, probs)
 
