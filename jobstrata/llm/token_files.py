@@ -28,8 +28,10 @@ from jobstrata.llm.storage import checkpointed
 
 SEQUENCE = 2048
 SEQUENCES_IN_BATCH = 256
-KEPT_PIECES = 300_000
-SLICE_BYTES = 2 << 20
+#: bytes of kept pieces in one of the two generations, counted with what Python adds to each
+KEPT_BYTES = 32 << 20
+PIECE_BYTES = 190
+SLICE_BYTES = 8 << 20
 _encoders: dict[str, Encoder] = {}
 
 
@@ -71,11 +73,12 @@ class Encoder:
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.young_bytes = 0
         self.bytes_as = str.maketrans(_byte_letters())
 
     def forget(self) -> None:
         """Drops the kept pieces, which a worker would hold through later tasks."""
-        self.young, self.old = {}, {}
+        self.young, self.old, self.young_bytes = {}, {}, 0
 
     def _encode(self, values: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch(values, add_special_tokens=False)
@@ -87,9 +90,10 @@ class Encoder:
             letters = piece.encode().decode("latin-1").translate(self.bytes_as)
             ids = [t.id for t in self.model.tokenize(letters)]
             blob = np.array(ids, self.type).tobytes()
-        if len(self.young) >= KEPT_PIECES:
-            self.old, self.young = self.young, {}
+        if self.young_bytes >= KEPT_BYTES:
+            self.old, self.young, self.young_bytes = self.young, {}, 0
         self.young[piece] = blob
+        self.young_bytes += PIECE_BYTES + 2 * len(piece) + len(blob)
         return blob
 
     def _units(self, units: list[str]) -> list[bytes]:
@@ -222,6 +226,8 @@ def write_token_files(
     text: str = "text",
     sequence: int = SEQUENCE,
     in_batch: int = SEQUENCES_IN_BATCH,
+    slice_bytes: int = SLICE_BYTES,
+    keep_pieces: bool = True,
 ) -> DataFrame:
     """Writes the files below ``folder`` (a URI that every executor reaches) and returns the
     manifest ``part, n_docs, n_tokens``, checkpointed, so that the files are written once.
@@ -231,6 +237,9 @@ def write_token_files(
     text is empty (only the end id). Null keys come first; rows with equal ``order`` are
     put in order of their text. Repeated rows are encoded each. Other columns are not
     read. An empty table gives an empty manifest and no files.
+
+    A worker keeps the ids of recent pieces for its next task, up to 2 x ``KEPT_BYTES``; where
+    other stages need its memory, let ``keep_pieces`` be false and ``slice_bytes`` small.
     """
 
     def run(batches):
@@ -240,7 +249,7 @@ def write_token_files(
         filesystem.create_dir(path, recursive=True)
         rows.give_back()
         encode = encoder(tokenizer)
-        index, total, own = [], 0, iter(rows.slices(batches, "text", SLICE_BYTES))
+        index, total, own = [], 0, iter(rows.slices(batches, "text", slice_bytes))
         first = next(own, None)
         if first is None:
             return
@@ -274,7 +283,8 @@ def write_token_files(
 
         _put(filesystem, f"{path}/docs-{part:08d}.arrow", attempt, places)
         n_docs = sum(len(c) for _, _, c in index)
-        encode.forget()
+        if not keep_pieces:
+            encode.forget()
         rows.give_back()
         yield pa.record_batch(
             [pa.array([part]), pa.array([n_docs]), pa.array([total])],
@@ -356,8 +366,8 @@ def read_token_files(manifest: DataFrame, folder: str, key: str = "doc_id") -> D
 
     before = F.sum("n_tokens").over(Window.orderBy("part")) - F.col("n_tokens")
     files = manifest.withColumn("base", before).select("part", "base")
-    # one file a task: the rows are as many as the files, their work is the files' size
-    spread = files.repartition(F.col("part"))
+    # a task a file: the rows are few, their work is the files' size, so the number is given
+    spread = files.repartitionByRange(max(1, manifest.count()), "part")
     return spread.mapInArrow(
         run, f"`{key}` long, start long, n_tokens long, ids_crc32 long, part long"
     )

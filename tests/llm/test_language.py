@@ -322,3 +322,40 @@ def test_pairs_stay_in_their_document():
     assert np.array_equal(one[:3], one[3:6])
     assert maxent_lm.pairs_before(cells, np.array([0]))[3] != one[3]
     assert len(set(one.tolist())) == 4
+
+
+# ---- token files
+
+
+def test_token_files_are_read_back_a_file_a_task(spark, tmp_path):
+    from jobstrata.llm import token_files
+    from jobstrata.llm.queries_text import tokenizer_path
+
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat(concat('word ', id, ' '), 20) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_token_files(docs, tmp_path.as_uri(), tokenizer_path())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = manifest.count()
+    assert files > 4
+    read = token_files.read_token_files(manifest, tmp_path.as_uri())
+    assert read.rdd.getNumPartitions() == files
+    tasks = read.groupBy("part").agg({"doc_id": "count"}).collect()
+    assert len(tasks) == files and sum(r[1] for r in tasks) == 400
+
+
+def test_kept_pieces_are_bounded(monkeypatch):
+    import pyarrow as pa
+
+    from jobstrata.llm import token_files
+    from jobstrata.llm.queries_text import tokenizer_path
+
+    monkeypatch.setattr(token_files, "KEPT_BYTES", 20_000)
+    encode = token_files.Encoder(tokenizer_path())
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(20)]
+    ids, counts = encode(pa.array(texts, pa.large_string()))
+    assert len(encode.young) + len(encode.old) < 220
+    want = encode.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert counts.tolist() == [len(e.ids) for e in want]
+    assert ids.tolist() == [i for e in want for i in e.ids]
