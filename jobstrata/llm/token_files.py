@@ -29,9 +29,9 @@ from jobstrata.llm.storage import checkpointed
 SEQUENCE = 2048
 SEQUENCES_IN_BATCH = 256
 #: bytes of kept pieces in one of the two generations, counted with what Python adds to each
-KEPT_BYTES = 32 << 20
+KEPT_BYTES = 64 << 20
 PIECE_BYTES = 190
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
 _encoders: dict[str, Encoder] = {}
 
 
@@ -75,6 +75,7 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.young_bytes = 0
         self.bytes_as = str.maketrans(_byte_letters())
+        self.blank = _byte_letters()[0x20]
 
     def forget(self) -> None:
         """Drops the kept pieces, which a worker would hold through later tasks."""
@@ -87,7 +88,10 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         blob = self.old.get(piece)
         if blob is None:
-            letters = piece.encode().decode("latin-1").translate(self.bytes_as)
+            if piece.isascii() and piece.isprintable():  # all but the blank stand for themselves
+                letters = piece.replace(" ", self.blank)
+            else:
+                letters = piece.encode().decode("latin-1").translate(self.bytes_as)
             ids = [t.id for t in self.model.tokenize(letters)]
             blob = np.array(ids, self.type).tobytes()
         if self.young_bytes >= KEPT_BYTES:
@@ -105,7 +109,10 @@ class Encoder:
             if blob is None:
                 if plain(unit):
                     parts = pieces(unit)
-                    blob = b"".join([self.young.get(p) or self._piece(p) for p in parts])
+                    if len(parts) == 1:
+                        blob = self._piece(unit)
+                    else:
+                        blob = b"".join([young(p) or self._piece(p) for p in parts])
                     young = self.young.get
                 else:
                     odd.append(len(out))
