@@ -65,7 +65,10 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         )
         order = STORED
     folder = shared_folder(spark, "pipeline-tokens")
-    manifest = token_files.write_token_files(stored, folder, tokenizer_path(), order=order)
+    # the other stages' workers are the same ones, so little is kept in them
+    manifest = token_files.write_token_files(
+        stored, folder, tokenizer_path(), order=order, slice_bytes=2 << 20, keep_pieces=False
+    )
     return token_files.read_token_files(manifest, folder)
 
 
