@@ -73,7 +73,7 @@ class Encoder:
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.young_bytes = 0
+        self.young_bytes, self.kept_bytes = 0, KEPT_BYTES
         self.bytes_as = str.maketrans(_byte_letters())
         self.blank = _byte_letters()[0x20]
 
@@ -94,7 +94,7 @@ class Encoder:
                 letters = piece.encode().decode("latin-1").translate(self.bytes_as)
             ids = [t.id for t in self.model.tokenize(letters)]
             blob = np.array(ids, self.type).tobytes()
-        if self.young_bytes >= KEPT_BYTES:
+        if self.young_bytes >= self.kept_bytes:
             self.old, self.young, self.young_bytes = self.young, {}, 0
         self.young[piece] = blob
         self.young_bytes += PIECE_BYTES + 2 * len(piece) + len(blob)
@@ -235,6 +235,7 @@ def write_token_files(
     in_batch: int = SEQUENCES_IN_BATCH,
     slice_bytes: int = SLICE_BYTES,
     keep_pieces: bool = True,
+    kept_bytes: int = KEPT_BYTES,
 ) -> DataFrame:
     """Writes the files below ``folder`` (a URI that every executor reaches) and returns the
     manifest ``part, n_docs, n_tokens``, checkpointed, so that the files are written once.
@@ -245,8 +246,8 @@ def write_token_files(
     put in order of their text. Repeated rows are encoded each. Other columns are not
     read. An empty table gives an empty manifest and no files.
 
-    A worker keeps the ids of recent pieces for its next task, up to 2 x ``KEPT_BYTES``; where
-    other stages need its memory, let ``keep_pieces`` be false and ``slice_bytes`` small.
+    A worker keeps the ids of recent pieces for its next task, up to 2 x ``kept_bytes``; where
+    other stages need its memory, let ``keep_pieces`` be false, the other two small.
     """
 
     def run(batches):
@@ -256,6 +257,7 @@ def write_token_files(
         filesystem.create_dir(path, recursive=True)
         rows.give_back()
         encode = encoder(tokenizer)
+        encode.kept_bytes = kept_bytes
         index, total, own = [], 0, iter(rows.slices(batches, "text", slice_bytes))
         first = next(own, None)
         if first is None:
