@@ -67,7 +67,13 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     folder = shared_folder(spark, "pipeline-tokens")
     # the other stages' workers are the same ones, so little is kept in them
     manifest = token_files.write_token_files(
-        stored, folder, tokenizer_path(), order=order, slice_bytes=2 << 20, keep_pieces=False
+        stored,
+        folder,
+        tokenizer_path(),
+        order=order,
+        slice_bytes=2 << 20,
+        keep_pieces=False,
+        kept_bytes=8 << 20,
     )
     return token_files.read_token_files(manifest, folder)
 
