@@ -9,12 +9,12 @@ from jobstrata.catalog.inputs import SALES_SQL, SKILLS, VISITS_SQL, sales, visit
 from jobstrata.catalog.registry import query
 from jobstrata.operators.evaluate import binary_metrics, confusion
 from jobstrata.operators.features import (
+    active_features,
     class_balance,
     collapse_levels,
+    feature_index,
     item_indicators,
-    levels_of,
     median_label,
-    one_hot,
     stratified_split,
 )
 from jobstrata.plans.paymodel import (
@@ -84,7 +84,11 @@ def one_hot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales(spark, sf_dir).select(
         F.col("c_mktsegment").alias("segment"), F.col("o_orderpriority").alias("priority")
     )
-    return _totals(rows, one_hot(levels_of(rows, ["segment", "priority"])))
+    blocks = ["segment", "priority"]
+    index = feature_index(rows, blocks)
+    active = active_features(rows, index, blocks).select(F.explode("active").alias("feature"))
+    ones = active.groupBy("feature").agg(F.count("*").cast("double").alias("ones"))
+    return ones.join(index, "feature").select(F.col("name").alias("feature"), "ones")
 
 
 @query(

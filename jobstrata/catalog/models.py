@@ -53,11 +53,11 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature vectors as a row for each posting and feature that is not zero."""
     table = _table(spark, sf_dir)
-    names = F.array(*[F.lit(n) for n in table.names])
-    pairs = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value"))
-    return table.rows.select("o_orderkey", "label", "is_test", "fold", F.inline(pairs)).filter(
-        "value <> 0"
-    )
+    names = table.index.select(F.col("feature").alias("number"), F.col("name").alias("feature"))
+    value = F.get(vector_to_array("features"), F.col("number")).alias("value")
+    split = ("o_orderkey", "label", "is_test", "fold")
+    pairs = table.rows.withColumn("number", F.explode("active")).join(names, "number")
+    return pairs.select(*split, "feature", value)
 
 
 @query()

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from jobstrata.operators.frequency import label_counts
 from jobstrata.operators.quantiles import median_value
-from jobstrata.operators.ranking import hash_positions
+from jobstrata.operators.ranking import hash_positions, numbered
+from jobstrata.session import stored
 
-MAX_LEVELS = 1000
+#: the block of list items
+ITEM_BLOCK = "skill"
 
 
 def median_label(df: DataFrame, value: str, label: str = "label") -> DataFrame:
@@ -38,22 +42,70 @@ def collapse_levels(df: DataFrame, col: str, k: int, keep: str, other: str) -> C
     return F.when(F.array_contains(named, value) | (value == keep), value).otherwise(F.lit(other))
 
 
-def levels_of(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """All levels of some closed-domain columns, sorted; a single pass over the rows.
+def feature_index(df: DataFrame, blocks: Sequence[str], items: DataFrame | None = None) -> DataFrame:
+    """``feature, block, level, name``: a 0/1 feature for every level of every block column,
+    numbered from 0 by block, then level; ``items`` (``item``) come last as block ``skill``.
 
-    Raises when a column has more levels than one feature each is sensible for;
-    ``collapse_levels`` is the exact way to bring such a column down first.
+    One pass over the rows; any number of levels. Null is no level. Runs jobs when called
+    and writes the index as a table, so that later joins know its size.
     """
     cells = F.array(
-        *[F.struct(F.lit(c).alias("field"), F.col(c).alias("level")) for c in cols]
+        *[
+            F.struct(F.lit(i).alias("place"), F.lit(b).alias("block"), F.col(b).alias("level"))
+            for i, b in enumerate(blocks)
+        ]
     )
-    distinct = df.select(F.inline(cells)).filter(F.col("level").isNotNull()).distinct()
-    rows = distinct.limit(MAX_LEVELS * len(cols) + 1).collect()
-    found = {c: sorted(r["level"] for r in rows if r["field"] == c) for c in cols}
-    crowded = [c for c, levels in found.items() if len(levels) > MAX_LEVELS]
-    if crowded or len(rows) > MAX_LEVELS * len(cols):
-        raise ValueError(f"too many levels to one-hot encode: {crowded or list(cols)}")
-    return found
+    levels = df.select(F.inline(cells)).filter(F.col("level").isNotNull()).distinct()
+    if items is not None:
+        last = (F.lit(len(blocks)).alias("place"), F.lit(ITEM_BLOCK).alias("block"))
+        levels = levels.union(items.select(*last, F.col("item").alias("level")))
+    return stored(
+        numbered(levels, ["place", "level"], "feature").select(
+            F.col("feature").cast("int").alias("feature"),
+            "block",
+            "level",
+            F.concat_ws(": ", "block", "level").alias("name"),
+        )
+    )
+
+
+def active_features(
+    df: DataFrame, index: DataFrame, blocks: Sequence[str], items: str | None = None
+) -> DataFrame:
+    """Add ``active``: the numbers of the row's features, ascending.
+
+    A join of the index for each block column; Spark broadcasts it as long as it is small.
+    Items are looked up in a map, so give only those of ``frequent_items``, whose number has
+    a bound. Null cells, unknown levels and repeated items add nothing.
+    """
+    rows = df
+    for i, block in enumerate(blocks):
+        own = index.filter(F.col("block") == block)
+        own = own.select(F.col("level").alias("_level"), F.col("feature").alias(f"_f{i}"))
+        rows = rows.join(own, F.col(block) == F.col("_level"), "left").drop("_level")
+    found = F.array_compact(F.array(*[F.col(f"_f{i}") for i in range(len(blocks))]))
+    if items is not None:
+        entries = F.collect_list(F.struct("level", "feature"))
+        known = index.filter(F.col("block") == ITEM_BLOCK).agg(F.map_from_entries(entries)).scalar()
+        listed = F.array_distinct(F.array_compact(F.coalesce(items, F.array().cast("array<string>"))))
+        rows = rows.withColumns({"_known": known, "_listed": listed})
+        places = F.transform("_listed", lambda x: F.try_element_at("_known", x))
+        found = F.concat(found, F.array_compact(places))
+    spent = [f"_f{i}" for i in range(len(blocks))] + ["_known", "_listed"]
+    return rows.withColumn("active", F.array_sort(found)).drop(*spent)
+
+
+def feature_vectors(df: DataFrame, size: int) -> DataFrame:
+    """Add ``features``, the sparse vector of ``active``, by writing the rows as a table.
+
+    A sparse vector is stored as kind, size, places and values, so the table is written in that
+    layout and read as vectors.
+    """
+    ones = F.array_repeat(F.lit(1.0), F.size("active"))
+    layout = (F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"))
+    packed = F.struct(*layout, F.col("active").alias("indices"), ones.alias("values"))
+    schema = StructType([*df.schema.fields, StructField("features", VectorUDT())])
+    return stored(df.withColumn("features", packed), schema)
 
 
 def one_hot(blocks: Mapping[str, Sequence[str]]) -> dict[str, Column]:
@@ -65,7 +117,7 @@ def one_hot(blocks: Mapping[str, Sequence[str]]) -> dict[str, Column]:
     }
 
 
-def item_indicators(items: str, names: Sequence[str], block: str = "skill") -> dict[str, Column]:
+def item_indicators(items: str, names: Sequence[str], block: str = ITEM_BLOCK) -> dict[str, Column]:
     return {
         f"{block}: {name}": F.coalesce(
             F.array_contains(items, name).cast("double"), F.lit(0.0)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobstrata.operators.joins import same_keys
+from jobstrata.session import checkpointed
 
 
 def hash_positions(df: DataFrame, by: str, key: str, seed: int, width: int = 4) -> DataFrame:
@@ -35,6 +36,27 @@ def hash_positions(df: DataFrame, by: str, key: str, seed: int, width: int = 4)
     )
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``: 0, 1, ... in the given order, which should tell all rows apart.
+
+    Runs a job when called: rows are sorted over ranges and written, and each range
+    starts after the counted rows of those before it. No task sees more than a range.
+    """
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = checkpointed(ranges.withColumn("_id", F.monotonically_increasing_id()))
+    # the id has the partition's number above its lower 33 bits
+    rows = placed.withColumn("_range", F.shiftright("_id", 33))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_count"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_count").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.col("_id") - F.shiftleft("_range", 33)
+    return (
+        rows.join(F.broadcast(starts), "_range")  # a row for each range
+        .withColumn(name, F.col("_start") + inside)
+        .drop("_id", "_range", "_start")
+    )
+
+
 def best_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each group in the given order.
 

@@ -1,7 +1,7 @@
 """Classifier of above-median pay with Spark ML, cross-validated and scored once.
 
-Features are sparse vectors over a bounded list of 0/1 columns. They are written
-to the checkpoint folder once; every fit reads them from there, so no fit goes
+Features are sparse vectors over 0/1 features, which a table numbers and names. They are
+written to the checkpoint folder once; every fit reads them from there, so no fit goes
 back to the raw rows and a lost executor costs only its own files' reread.
 """
 
@@ -15,7 +15,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -23,11 +22,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from jobstrata.functions.cells import or_label
 from jobstrata.operators.evaluate import accuracy_error, binary_metrics
 from jobstrata.operators.features import (
+    active_features,
     collapse_levels,
-    item_indicators,
-    levels_of,
+    feature_index,
+    feature_vectors,
     median_label,
-    one_hot,
     stratified_split,
 )
 from jobstrata.operators.forest import ForestPlan, feature_sets, grow_forest
@@ -38,17 +37,23 @@ from jobstrata.session import checkpointed
 
 @dataclass(frozen=True)
 class FeatureTable:
-    """``key, label, is_test, fold, features`` and what each feature position means."""
+    """``key, label, is_test, fold, active, features``, and the table ``feature, block, level,
+    name`` of what each of the ``size`` feature numbers means."""
 
     rows: DataFrame
-    names: Sequence[str]
+    index: DataFrame
+    size: int
 
-    def only(self, prefix: str) -> FeatureTable:
-        """The same rows with the features of one block."""
-        places = [i for i, n in enumerate(self.names) if n.startswith(prefix)]
-        sliced = VectorSlicer(inputCol="features", outputCol="_block", indices=places)
-        rows = sliced.transform(self.rows).drop("features").withColumnRenamed("_block", "features")
-        return FeatureTable(rows, [self.names[i] for i in places])
+    def only(self, block: str) -> FeatureTable:
+        """The same rows with the features of one block, numbered from 0. Runs jobs."""
+        own = self.index.filter(F.col("block") == block)
+        first, size = own.agg(F.coalesce(F.min("feature"), F.lit(0)), F.count("*")).first()
+        # a block's numbers follow each other
+        inside = F.filter("active", lambda i: (i >= first) & (i < first + size))
+        moved = F.transform(inside, lambda i: (i - first).cast("int"))
+        rows = self.rows.drop("features").withColumn("active", moved)
+        index = own.withColumn("feature", F.col("feature") - first)
+        return FeatureTable(feature_vectors(rows, size), index, size)
 
 
 def feature_table(
@@ -61,21 +66,20 @@ def feature_table(
     folds: int = preset.FOLDS,
     seed: int = preset.SEED,
 ) -> FeatureTable:
-    """One-hot every level of each block, add indicators of frequent items, split."""
+    """One-hot every level of each block, add indicators of frequent items, split.
+
+    Runs jobs when called: split, index and vectors are written as tables.
+    """
     listed = F.array().cast("array<string>") if items is None else items
-    base = sample.select(key, "label", listed.alias("items"), *[c.alias(b) for b, c in blocks.items()])
+    cells = [c.cast("string").alias(b) for b, c in blocks.items()]
+    base = sample.select(key, "label", listed.alias("items"), *cells)
     base = checkpointed(stratified_split(base, "label", key, test_share, folds, seed))
-    columns = one_hot(levels_of(base, list(blocks)))
-    if items is not None:
-        frequent = frequent_items(base, F.col("items"), item_threshold)
-        columns |= item_indicators("items", [r["item"] for r in frequent.select("item").collect()])
-    cells = {f"_f{i}": c for i, c in enumerate(columns.values())}
-    packed = VectorAssembler(inputCols=list(cells), outputCol="features").transform(
-        base.select(key, "label", "is_test", "fold", *[c.alias(n) for n, c in cells.items()])
-    )
-    return FeatureTable(
-        checkpointed(packed.select(key, "label", "is_test", "fold", "features")), list(columns)
-    )
+    frequent = None if items is None else frequent_items(base, F.col("items"), item_threshold)
+    index = feature_index(base, list(blocks), frequent)
+    active = active_features(base, index, list(blocks), None if items is None else "items")
+    size = index.count()
+    rows = active.select(key, "label", "is_test", "fold", "active")
+    return FeatureTable(feature_vectors(rows, size), index, size)
 
 
 def posting_features(panel: DataFrame, **options: object) -> FeatureTable:
@@ -128,11 +132,8 @@ def fit_forest(
     They are grown on the distinct feature sets and their class counts, see
     ``operators.forest``.
     """
-    n = len(table.names)
-    arr = vector_to_array("features")
-    on = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get(arr, i) != 0)
-    rows = table.rows.select(on.alias("active"), "fold", "label")
-    plan = ForestPlan(trees, tuple(rounds), folds, depth, preset.FOREST_LEAF, seed, n)
+    rows = table.rows.select("active", "fold", "label")
+    plan = ForestPlan(trees, tuple(rounds), folds, depth, preset.FOREST_LEAF, seed, table.size)
     return Forest(*grow_forest(feature_sets(rows, folds), plan))
 
 
@@ -179,10 +180,7 @@ def forest_predictions(
 ) -> DataFrame:
     """The same for the forests of all rounds, which are grown together."""
     forest = fit_forest(table, trees, depth, folds, range(-1, folds))
-    n = len(table.names)
-    arr = vector_to_array("features")
-    on = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get(arr, i) != 0)
-    rows = _round_of(table.rows.withColumn("active", on)).select("active", "round", "label")
+    rows = _round_of(table.rows).select("active", "round", "label")
     said = (F.col("share") > 0.5).cast("double").alias("prediction")
     return rows.join(forest.shares, ["active", "round"]).select(F.col("round").alias("fold"), "label", said)
 
@@ -221,7 +219,7 @@ def logistic_predictions(
 
 def compare_models(
     table: FeatureTable,
-    role_prefix: str = "role: ",
+    role_block: str = "role",
     trees: int = preset.FOREST_TREES,
     depth: int = preset.FOREST_DEPTH,
     folds: int = preset.FOLDS,
@@ -234,7 +232,7 @@ def compare_models(
     metrics, the test accuracy's standard error, and the drop from
     cross-validation to test in standard errors.
     """
-    roles = table.only(role_prefix)
+    roles = table.only(role_block)
     predictions = {
         "Majority-class baseline": (table, majority_predictions(table.rows, folds)),
         "Logistic, role family only": (roles, logistic_predictions(roles, folds, parallelism)),
@@ -242,7 +240,7 @@ def compare_models(
         "Random forest, all features": (table, forest_predictions(table, trees, depth, folds)),
     }
     labelled = [
-        rows.withColumns({"model": F.lit(name), "features": F.lit(len(source.names))})
+        rows.withColumns({"model": F.lit(name), "features": F.lit(source.size)})
         for name, (source, rows) in predictions.items()
     ]
     return model_scores(reduce(DataFrame.unionByName, labelled))
@@ -283,7 +281,8 @@ def coefficient_table(table: FeatureTable, logistic: Model, forest: Forest) -> D
     each feature's rank under either model, strongest coefficient first.
 
     Coefficients are on the standardised scale. One row per feature: names, coefficients
-    and importances are tables joined on the feature's number.
+    and importances are tables joined on the feature's number. The coefficients come from the
+    fitted model, which lives at the driver.
     """
     spark = table.rows.sparkSession
     spread = training_set(table).agg(Summarizer.std(F.col("features")).alias("std"))
@@ -291,7 +290,7 @@ def coefficient_table(table: FeatureTable, logistic: Model, forest: Forest) -> D
     weights = spark.createDataFrame(
         enumerate(map(float, logistic.coefficients.toArray())), "feature int, weight double"
     )
-    names = spark.createDataFrame(enumerate(table.names), "feature int, name string")
+    names = table.index.select("feature", "name")
     importance = forest.importance.where("round = -1").select("feature", "importance")
     weighted = (
         names.join(weights, "feature")

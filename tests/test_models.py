@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from __spark_entry__ import SMOKE_DIR
 from jobstrata.catalog import REGISTRY
 from jobstrata.operators.features import (
-    MAX_LEVELS,
+    active_features,
     collapse_levels,
-    levels_of,
+    feature_index,
+    feature_vectors,
     median_label,
     one_hot,
     stratified_split,
@@ -67,17 +68,64 @@ def test_collapse_and_one_hot(spark):
     df = spark.createDataFrame([(v,) for v in ["a"] * 3 + ["b"] * 2 + ["c", "Unspecified"]], "s string")
     level = collapse_levels(df, "s", 1, "Unspecified", "Other state")
     collapsed = df.select(level.alias("state"))
-    assert levels_of(collapsed, ["state"]) == {"state": ["Other state", "Unspecified", "a"]}
+    index = feature_index(collapsed, ["state"]).orderBy("feature").collect()
+    assert [(r["feature"], r["name"]) for r in index] == list(
+        enumerate(["state: Other state", "state: Unspecified", "state: a"])
+    )
     columns = one_hot({"state": ["a", "Unspecified", "Other state"]})
     assert list(columns) == ["state: Other state", "state: Unspecified", "state: a"]
     rows = collapsed.select(*[c.alias(n) for n, c in columns.items()]).collect()
     assert all(sum(r) == 1.0 for r in rows)
 
 
-def test_too_many_levels_raise(spark):
-    df = spark.range(MAX_LEVELS + 1).select(F.col("id").cast("string").alias("state"))
-    with pytest.raises(ValueError, match="too many levels"):
-        levels_of(df, ["state"])
+def test_features_of_edge_cells(spark):
+    rows = [(1, "b", "x", ["s", "s", None, "rare"]), (2, None, "x", None), (3, "a", None, []), (4, "", "y", ["t"])]
+    df = spark.createDataFrame(rows, "id int, one string, two string, items array<string>")
+    frequent = spark.createDataFrame([("t",), ("s",)], "item string")
+    index = feature_index(df, ["one", "two"], frequent)
+    names = {r["feature"]: r["name"] for r in index.collect()}
+    assert names == dict(
+        enumerate(["one: ", "one: a", "one: b", "two: x", "two: y", "skill: s", "skill: t"])
+    )
+    active = active_features(df, index, ["one", "two"], "items")
+    got = feature_vectors(active, 7).orderBy("id").collect()
+    assert [r["active"] for r in got] == [[2, 3, 5], [3], [1], [0, 4, 6]]
+    assert [list(r["features"].indices) for r in got] == [r["active"] for r in got]
+    assert {r["features"].size for r in got} == {7}
+    none = feature_index(df.limit(0), ["one", "two"])
+    assert none.count() == 0
+    assert active_features(df, none, ["one", "two"]).where("size(active) > 0").isEmpty()
+
+
+def test_a_hundred_thousand_levels(spark):
+    """Numbers are dense and ordered, vectors hold them, and a fit ranks them by name."""
+    n = 100_000
+    city = F.when(F.col("id") % 3 > 0, F.format_string("c%06d", F.col("id") % n))
+    sample = spark.range(2 * n).select(
+        "id",
+        (F.pmod(F.hash("id"), F.lit(10)) < F.when(F.col("id") % 2 == 0, 8).otherwise(2)).cast("int").alias("label"),
+        city.alias("city"),
+        (F.col("id") % 2).cast("string").alias("side"),
+    )
+    table = pm.feature_table(sample, "id", {"side": F.col("side"), "city": F.col("city")})
+    kept = spark.range(2 * n).where("id % 3 > 0").select(F.col("id") % n).distinct().count()
+    assert table.size == kept + 2
+    ordered = table.index.agg(F.min("feature"), F.max("feature"), F.countDistinct("feature")).first()
+    assert tuple(ordered) == (0, table.size - 1, table.size)
+    in_order = table.index.where("block = 'city'").selectExpr(
+        "feature - 2 - (rank() OVER (ORDER BY level) - 1) AS off").where("off <> 0")
+    assert in_order.isEmpty()
+    wrong = table.rows.join(sample.select("id", "city", "side"), "id").join(
+        table.index.where("block = 'city'").select("feature", "level"),
+        F.get("active", F.lit(1)) == F.col("feature"), "left"
+    ).where("NOT city <=> level OR active[0] <> int(side)")
+    assert wrong.isEmpty()
+    weights = pm.coefficient_table(table, pm.fit_full(table), pm.Forest(
+        None, spark.createDataFrame([], "round int, feature int, importance double")))
+    assert weights.count() == table.size
+    top = {r["feature"]: r["logistic_coefficient"] for r in weights.limit(2).collect()}
+    assert set(top) == {"side: 0", "side: 1"} and top["side: 0"] > 0 > top["side: 1"]
+    assert table.only("side").size == 2
 
 
 def test_undefined_metrics_are_zero(spark):
@@ -92,10 +140,11 @@ def table(spark):
 
 
 def test_feature_table(table):
-    assert len(table.names) == 2 + 2 + 7 + 2 + 2
-    assert [n for n in table.names if n.startswith("skill: ")] == ["skill: ML", "skill: SQL"]
+    assert table.size == table.index.count() == 2 + 2 + 7 + 2 + 2
+    last = table.index.orderBy("feature").collect()[-2:]
+    assert [r["name"] for r in last] == ["skill: ML", "skill: SQL"]
     first = table.rows.first()
-    assert first["features"].size == len(table.names)
+    assert first["features"].size == table.size
     assert table.rows.count() == 400
 
 
@@ -106,7 +155,7 @@ def test_models_find_the_planted_signal(table):
     role = scores["Logistic, role family only"]
     full = scores["Logistic, all features"]
     forest = scores["Random forest, all features"]
-    assert base["features"] == len(table.names) and role["features"] == 2
+    assert base["features"] == table.size and role["features"] == 2
     assert base["test_accuracy"] < role["test_accuracy"] < full["test_accuracy"]
     assert full["cv_accuracy_mean"] > 0.8 and forest["cv_accuracy_mean"] > 0.8
     assert base["test_f1"] == 0.0 or base["test_recall"] == 1.0
@@ -119,7 +168,7 @@ def test_coefficients_point_the_right_way(table):
         table, pm.fit_full(table), pm.fit_forest(table, 10, 5)
     )
     rows = {r["feature"]: r for r in weights.collect()}
-    assert len(rows) == len(table.names)
+    assert len(rows) == table.size
     assert rows["role: Data Scientist"]["logistic_coefficient"] > 0
     assert rows["role: Data Analyst"]["logistic_coefficient"] < 0
     assert rows["skill: ML"]["logistic_coefficient"] > 0
