@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobstrata.catalog.inputs import SKILLS, TOKENS_SQL, VISITS_SQL, token_lists, visits
 from jobstrata.catalog.registry import query, table
 from jobstrata.operators.gaps import target_level
+from jobstrata.operators.heavy import heavy_labels
 from jobstrata.operators.items import (
     demand,
     demand_by_group,
@@ -165,3 +166,26 @@ def distinct_items_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("lang")
         .agg(F.countDistinct("item").alias("items"))
     )
+
+
+@query(
+    """WITH words AS (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents),
+    counted AS (SELECT word AS value, count(*) AS n FROM words WHERE word <> '' GROUP BY word)
+    SELECT value, n, round(100e0 * n / (SELECT sum(n) FROM counted), 4) AS share, rank() OVER (ORDER BY n DESC) AS rank
+    FROM counted ORDER BY n DESC, value LIMIT 20"""
+)
+def heavy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent words of all documents, an open domain."""
+    words = F.split(F.lower("text"), "[^a-z]+")
+    rows = table(spark, sf_dir, "documents").select(F.explode(words).alias("word"))
+    return heavy_labels(rows.filter("word <> ''"), F.col("word"), 20)
+
+
+@query(
+    """WITH counted AS (SELECT l_partkey AS value, count(*) AS n FROM lineitem GROUP BY l_partkey)
+    SELECT value, n, round(100e0 * n / (SELECT sum(n) FROM counted), 4) AS share, rank() OVER (ORDER BY n DESC) AS rank
+    FROM counted ORDER BY n DESC, value LIMIT 10"""
+)
+def heavy_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most ordered parts: labels of nearly even counts, so most buckets stay open."""
+    return heavy_labels(table(spark, sf_dir, "lineitem"), F.col("l_partkey"), 10)
