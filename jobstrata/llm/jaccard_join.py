@@ -49,6 +49,9 @@ LARGEST_LIGHT = 96
 SPARE = 5
 BLOCK_MEMBERS = 4096
 PROFILE_BYTES = 8 << 20
+#: text that is split into words at a time, and keys a task holds before it sends them
+STEP_BYTES = 2 << 20
+KEY_BYTES = 16 << 20
 
 
 def needed_overlap(n: int, percent: int = PERCENT) -> int:
@@ -91,7 +94,10 @@ def _profile(width: int):
 
     def run(batches):
         for batch in rows.slices(batches, "text", PROFILE_BYTES):
-            hashes, counts = shingle_sets(rows.texts(batch), width)
+            steps = rows.slices([batch], "text", STEP_BYTES)
+            sets = [shingle_sets(rows.texts(step), width) for step in steps]
+            hashes, counts = (np.concatenate(part) for part in zip(*sets))
+            del sets
             ends = np.cumsum(counts)
             digests = [
                 hashlib.blake2b(hashes[e - n : e].tobytes(), digest_size=16).digest()
@@ -141,7 +147,9 @@ def _key_rows(frequent, boundary: int, width: int, percent: int, bits: int):
     def run(batches):
         ranks = frequent.value  # hashes of frequent shingles, ascending, and their ranks
         sent = rows.Occurrences(bits)
-        for batch in rows.slices(batches, "text"):
+        for batch in rows.slices(batches, "text", STEP_BYTES):
+            if sum(part.nbytes for part in sent.parts) >= KEY_BYTES:
+                yield from sent.batches()  # a key then leaves once for each such run
             hashes, counts = shingle_sets(rows.texts(batch), width)
             n = len(counts)
             # equal sets are one class, so a set must allow a difference
@@ -171,6 +179,7 @@ def _key_rows(frequent, boundary: int, width: int, percent: int, bits: int):
                 subset = rows.stirred(low * rows.BASE + high).ravel()
                 sent.add(subset, 0, np.repeat(docs[which], len(a)), np.full(len(subset), size))
         yield from sent.batches()
+        rows.give_back()
 
     return run
 
@@ -181,7 +190,7 @@ def _differences(width: int, percent: int):
 
     def run(batches):
         hub, hub_set, members = None, np.empty(0, np.uint64), []
-        for batch in rows.slices(batches, "text"):
+        for batch in rows.slices(batches, "text", STEP_BYTES):
             hashes, counts = shingle_sets(rows.texts(batch), width)
             ends = np.cumsum(counts)
             links, out = [], []
