@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -96,20 +98,57 @@ def check_source(
     return df
 
 
+def schema_problems(
+    spark: SparkSession, files: Sequence[str], wanted: StructType, parallelism: int = 8
+) -> DataFrame:
+    """``file, column, wanted, found``: where a Parquet file departs from the wanted columns and
+    types; ``found`` is null for a column that is not there.
+
+    Only footers are read, each in a task of its own by Spark's reader, so any path that
+    Spark opens will do. Further columns, their order and nullability are not compared. The
+    driver gets the schema of one file at a time and keeps the departures.
+    """
+
+    def departures(file: str) -> list[tuple]:
+        found = {f.name: f.dataType.simpleString() for f in spark.read.parquet(file).schema}
+        named = [(f.name, f.dataType.simpleString()) for f in wanted]
+        return [(file, name, kind, found.get(name)) for name, kind in named if found.get(name) != kind]
+
+    with ThreadPool(parallelism) as pool:
+        work = inheritable_thread_target(spark)(departures)
+        rows = [row for found in pool.imap(work, files) for row in found]
+    return spark.createDataFrame(rows, "file string, column string, wanted string, found string")
+
+
+def check_types(spark: SparkSession, files: Sequence[str], wanted: StructType) -> None:
+    """Raise, naming files and columns, if a file lacks a column or has it in another type."""
+    problems = schema_problems(spark, files, wanted).orderBy("file", "column").limit(20).collect()
+    if problems:
+        named = [
+            f"{p['file']}: {p['column']} is {p['found'] or 'missing'}, not {p['wanted']}"
+            for p in problems
+        ]
+        raise SourceError("; ".join(named))
+
+
 def read_postings(
     spark: SparkSession, *paths: str, expected_files: int | None = None
 ) -> DataFrame:
-    """Raw postings from Parquet; columns beyond those checked stay available."""
-    return check_source(spark.read.parquet(*paths), RAW_SCHEMA.fieldNames(), expected_files)
+    """Raw postings from Parquet; columns beyond those checked stay available.
+
+    The number of files, and each file's columns and types, are checked before a row is read.
+    """
+    df = check_source(spark.read.parquet(*paths), [], expected_files)
+    check_types(spark, df.inputFiles(), RAW_SCHEMA)
+    return check_source(df, RAW_SCHEMA.fieldNames())
 
 
 def source_inventory(df: DataFrame) -> DataFrame:
-    """One row: files, columns, rows. Counts rows per file, so no column is read."""
-    per_file = df.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
-    return per_file.agg(
-        F.count("*").alias("files"),
+    """One row: files, columns, rows. Files without rows count; no column is read."""
+    return df.agg(
+        F.lit(len(df.inputFiles())).cast("long").alias("files"),
         F.lit(len(df.columns)).cast("long").alias("columns"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count("*").alias("rows"),
     )
 
 

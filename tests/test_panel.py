@@ -18,6 +18,7 @@ from jobstrata.sources.readers import (
     read_panel,
     read_postings,
     read_ratings,
+    schema_problems,
     source_inventory,
 )
 from jobstrata.sources.writers import data_dictionary, write_panel, write_table
@@ -143,6 +144,32 @@ def test_source_contract(spark, sample, tmp_path):
         check_source(back.drop("POSTED"), RAW_SCHEMA.fieldNames())
 
 
+def test_typed_source_contract(spark, sample, tmp_path):
+    """Every file is held to the contract, named, and nothing but footers is read."""
+    path = tmp_path / "raw"
+    sample.coalesce(1).write.parquet(str(path / "a"))
+    sample.withColumn("ID", F.col("ID").cast("string")).coalesce(1).write.parquet(str(path / "b"))
+    sample.drop("POSTED").withColumn("more", F.lit(1)).coalesce(1).write.parquet(str(path / "c"))
+    files = [str(f) for f in sorted(path.glob("*/part-*.parquet"))]
+    found = schema_problems(spark, files, RAW_SCHEMA).orderBy("file").collect()
+    assert [tuple(r)[1:] for r in found] == [("ID", "bigint", "string"), ("POSTED", "string", None)]
+    assert [Path(r["file"]).parent.name for r in found] == ["b", "c"]
+    assert schema_problems(spark, files[:1], RAW_SCHEMA).count() == 0
+    with pytest.raises(SourceError, match=r"/b/part-.*: ID is string, not bigint"):
+        read_postings(spark, *files[:2], expected_files=2)
+    with pytest.raises(SourceError, match=r"/c/part-.*: POSTED is missing, not string"):
+        read_postings(spark, files[0], files[2])
+    assert read_postings(spark, files[0], expected_files=1).count() == 11
+
+
+def test_inventory_counts_files_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for rows in (3, 0, 2, 0):
+        spark.range(rows).coalesce(1).write.mode("append").parquet(path)
+    assert tuple(source_inventory(spark.read.parquet(path)).first()) == (4, 1, 5)
+    assert tuple(source_inventory(spark.range(2)).first()) == (0, 1, 2)
+
+
 def test_ratings_and_tables_round_trip(spark, tmp_path):
     wide = spark.createDataFrame(
         [("SQL", "SQL (Programming Language)", 1, None, "same, skill")],
