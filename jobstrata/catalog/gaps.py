@@ -205,6 +205,17 @@ def peer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.peer_names(g.candidate_priorities(g.gaps(ratings, _targets(spark, sf_dir))), ratings)
 
 
+@query(
+    f"""{_USERS}, {_PRIORITY_SQL}, holders AS (SELECT skill, candidate, rating FROM ratings WHERE rating IS NOT NULL
+        QUALIFY rank() OVER (PARTITION BY skill ORDER BY rating DESC) = 1)
+    SELECT skill, 'gap' AS part, candidate, gap AS level FROM priorities
+    UNION ALL SELECT skill, 'strongest', candidate, rating FROM holders WHERE skill IN (SELECT skill FROM priorities)"""
+)
+def peer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = _user_ratings(spark, sf_dir)
+    return g.peer_rows(g.candidate_priorities(g.gaps(ratings, _targets(spark, sf_dir))), ratings)
+
+
 @query(
     f"""{_USERS} SELECT skill, candidate, rating FROM ratings WHERE rating IS NOT NULL
     QUALIFY rank() OVER (PARTITION BY skill ORDER BY rating DESC) = 1"""

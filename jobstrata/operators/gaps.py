@@ -50,12 +50,12 @@ def targets(demand: DataFrame, tiers: Sequence[tuple[float, int]], base: int) ->
 def gaps(ratings: DataFrame, with_targets: DataFrame) -> DataFrame:
     """``candidate, skill, rating, share, target, gap``; unrated skills give no row.
 
-    Targets have one row per skill of the rated list they were made from, so they
-    are broadcast; candidates may be any number.
+    Targets have one row per skill of the rated list they were made from; whether that is
+    small enough to broadcast is left to Spark's check of its size.
     """
     return (
         ratings.filter(F.col("rating").isNotNull())
-        .join(F.broadcast(with_targets.select("skill", "share", "target")), "skill")
+        .join(with_targets.select("skill", "share", "target"), "skill")
         .withColumn("gap", F.greatest(F.col("target") - F.col("rating"), F.lit(0)))
     )
 
@@ -112,18 +112,17 @@ def role_gaps(
     """Skills in which a candidate falls short of the target of their own roles.
 
     ``by_role`` is ``role, item, postings, group_postings``. Demand is taken over
-    the union of the candidate's roles, and its share is not rounded before the
-    target is read off.
+    the union of the candidate's roles (a repeated role counts once), and its share is not
+    rounded before the target is read off. Many candidates share a set of roles, so demand
+    is summed once for each distinct set and skill.
     """
-    demanded = (
-        candidate_roles.join(by_role, "role")
-        .groupBy("candidate", F.col("item").alias("skill"))
-        .agg((100.0 * F.sum("postings") / F.sum("group_postings")).alias("role_share"))
-        .withColumn("target", target_level(F.col("role_share"), tiers, base))
+    role_sets = candidate_roles.groupBy("candidate").agg(
+        F.sort_array(F.collect_set("role")).alias("roles")
     )
+    rated = ratings.filter(F.col("rating").isNotNull()).join(role_sets, "candidate")
     return (
-        ratings.filter(F.col("rating").isNotNull())
-        .join(demanded, ["candidate", "skill"])
+        rated.join(demand_by_role_set(role_sets, by_role), ["roles", "skill"])
+        .withColumn("target", target_level(F.col("role_share"), tiers, base))
         .filter(F.col("target") > F.col("rating"))
         .select(
             "candidate",
@@ -136,6 +135,18 @@ def role_gaps(
     )
 
 
+def demand_by_role_set(role_sets: DataFrame, by_role: DataFrame) -> DataFrame:
+    """``roles, skill, role_share``: the demand of each distinct set of roles as one group."""
+    return (
+        role_sets.select("roles")
+        .distinct()
+        .withColumn("role", F.explode("roles"))
+        .join(by_role, "role")
+        .groupBy("roles", F.col("item").alias("skill"))
+        .agg((100.0 * F.sum("postings") / F.sum("group_postings")).alias("role_share"))
+    )
+
+
 def candidate_priorities(
     gap_rows: DataFrame, rounding: Callable[[Column, int], Column] = F.round
 ) -> DataFrame:
@@ -182,9 +193,24 @@ def peer_help(priorities: DataFrame, ratings: DataFrame) -> DataFrame:
     )
 
 
+def peer_rows(priorities: DataFrame, ratings: DataFrame) -> DataFrame:
+    """``skill, part, candidate, level`` of the skills with a gap: a row ``gap`` for everyone
+    who has one, with its size, and ``strongest`` for everyone who shares the highest level."""
+    in_gap = priorities.select(
+        "skill", F.lit("gap").alias("part"), "candidate", F.col("gap").alias("level")
+    )
+    stated = ratings.filter(F.col("rating").isNotNull())
+    strongest = largest_with_ties(stated, ["skill"], "rating").select(
+        "skill", F.lit("strongest").alias("part"), "candidate", F.col("rating").alias("level")
+    )
+    needy = priorities.select("skill").distinct()
+    return in_gap.unionByName(strongest.join(needy, "skill", "left_semi"))
+
+
 def peer_names(priorities: DataFrame, ratings: DataFrame) -> DataFrame:
     """``peer_help`` with names written out, for one team of people: who has a gap,
-    and everyone who shares the highest level, with that level."""
+    and everyone who shares the highest level, with that level. For many candidates
+    take ``peer_rows``, which puts no list of them into a cell."""
 
     def names(rows: DataFrame, out: str) -> DataFrame:
         return rows.groupBy("skill").agg(

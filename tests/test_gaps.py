@@ -120,3 +120,34 @@ def test_role_gaps_pool_the_roles_of_a_candidate(spark):
     roles = spark.createDataFrame([("Ada", "x"), ("Ada", "y")], "candidate string, role string")
     row = g.role_gaps(by_role, ratings, roles, preset.TARGET_TIERS, preset.TARGET_BASE).first()
     assert tuple(row) == ("Ada", "SQL", 30.0, 1, 4, 3)
+
+
+def test_role_sets_are_summed_once(spark):
+    """Candidates with equal sets share a row; repeated and unknown roles change nothing."""
+    by_role = spark.createDataFrame(
+        [("x", "SQL", 1, 10), ("y", "SQL", 5, 10), ("x", "ML", 9, 10)],
+        "role string, item string, postings long, group_postings long",
+    )
+    roles = spark.createDataFrame(
+        [("Ada", "x"), ("Ada", "y"), ("Bo", "y"), ("Bo", "x"), ("Bo", "x"), ("Cy", "y"), ("Di", None), ("Di", "z")],
+        "candidate string, role string",
+    )
+    sets = roles.groupBy("candidate").agg(F.sort_array(F.collect_set("role")).alias("roles"))
+    summed = {(tuple(r["roles"]), r["skill"]): r["role_share"] for r in g.demand_by_role_set(sets, by_role).collect()}
+    assert summed == {(("x", "y"), "SQL"): 30.0, (("x", "y"), "ML"): 90.0, (("y",), "SQL"): 50.0}
+    ratings = spark.createDataFrame(
+        [("Ada", "SQL", 1), ("Bo", "SQL", 1), ("Bo", "ML", None), ("Cy", "SQL", 5), ("Di", "SQL", 1)],
+        "candidate string, skill string, rating int",
+    )
+    short = g.role_gaps(by_role, ratings, roles, preset.TARGET_TIERS, preset.TARGET_BASE).collect()
+    assert {(r["candidate"], r["skill"], r["role_share"]) for r in short} == {("Ada", "SQL", 30.0), ("Bo", "SQL", 30.0)}
+
+
+def test_peer_rows(spark):
+    ratings = spark.createDataFrame(
+        [("Ada", "SQL", 1), ("Bo", "SQL", 4), ("Cy", "SQL", 4), ("Di", "SQL", None), ("Ada", "ML", 5)],
+        "candidate string, skill string, rating int",
+    )
+    open_gaps = spark.createDataFrame([("SQL", "Ada", 3)], "skill string, candidate string, gap int")
+    rows = {tuple(r) for r in g.peer_rows(open_gaps, ratings).collect()}
+    assert rows == {("SQL", "gap", "Ada", 3), ("SQL", "strongest", "Bo", 4), ("SQL", "strongest", "Cy", 4)}
