@@ -21,7 +21,7 @@ from jobstrata.catalog.inputs import (
 from jobstrata.catalog.registry import query, table
 from jobstrata.functions.cells import day
 from jobstrata.functions.pay import add_pay
-from jobstrata.operators.funnel import code_is, compare_funnels, recent, title_has, title_lacks
+from jobstrata.operators.funnel import code_is, compare_extracts, recent, title_has, title_lacks
 from jobstrata.plans.panel import PAY, build_panel, build_stats, panel_funnel
 from jobstrata.presets import postings as preset
 from jobstrata.sources.readers import source_inventory
@@ -194,10 +194,7 @@ def _half_sql(status: str) -> str:
 )
 def extract_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_postings(spark, sf_dir)
-    halves = [
-        panel_funnel(RULES).table(raw.filter(F.col("l_linestatus") == s)) for s in ("F", "O")
-    ]
-    return compare_funnels(*halves)
+    return compare_extracts(panel_funnel(RULES), raw, F.col("l_linestatus"), "F", "O")
 
 
 @query(

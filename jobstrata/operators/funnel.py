@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobstrata.functions.cells import any_of, share
 from jobstrata.operators.joins import keep_together
@@ -61,8 +61,12 @@ class Funnel:
             depth = F.when(predicate, depth).otherwise(F.lit(i))
         return depth
 
-    def counts(self, df: DataFrame) -> DataFrame:
-        """One row: raw, every cumulative step, undated/before/in window, extra counts."""
+    def counts(self, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """One row: raw, every cumulative step, undated/before/in window, extra counts.
+
+        With ``by`` a row for each of those labels, each with a window of its own, from the
+        same single pass.
+        """
         # Each pattern and date is evaluated once per row, dates on matched rows only.
         rows = df.withColumn("_depth", self._depth())
         inside = F.col("_depth") == len(self.steps)
@@ -73,17 +77,18 @@ class Funnel:
             *[F.count_if(inside & p).alias(n) for n, p in self.in_panel.items()],
         ]
         if self.date is None:
-            return rows.agg(*measures)
+            return rows.groupBy(*by).agg(*measures)
 
         day = F.when(inside, self.date).alias("day")
         names = ["raw", *[n for n, _ in self.steps], *self.compared, *self.in_panel]
-        daily = keep_together(rows.groupBy(day).agg(*measures), *names)
+        daily = keep_together(rows.groupBy(*by, day).agg(*measures), *names)
         last = self.steps[-1][0]
-        latest = daily.agg(F.max("day"))
-        dated = daily.withColumn("latest", latest.scalar())
+        # a label has a row for each calendar day at most
+        latest = F.max("day").over(Window.partitionBy(*by)) if by else daily.agg(F.max("day")).scalar()
+        dated = daily.withColumn("latest", latest)
         within = F.col("day") >= F.date_sub("latest", self.days)
         totals = ["raw", *[n for n, _ in self.steps], *self.compared]
-        return dated.agg(
+        return dated.groupBy(*by).agg(
             *[F.sum(n).alias(n) for n in totals],
             F.sum(F.when(F.col("day").isNull(), F.col(last)).otherwise(0)).alias("undated"),
             F.sum(F.when(within, F.col(last)).otherwise(0)).alias("in_window"),
@@ -96,8 +101,9 @@ class Funnel:
             }
         )
 
-    def table(self, df: DataFrame) -> DataFrame:
-        """``step_no, step, postings, share`` with the share in percent of the raw rows."""
+    def table(self, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """``step_no, step, postings, share`` with the share in percent of the raw rows, after
+        the ``by`` columns."""
         names = ["raw", *[n for n, _ in self.steps]]
         if self.date is not None:
             names.append("in_window")
@@ -112,7 +118,7 @@ class Funnel:
                 for i, n in enumerate(names)
             ]
         )
-        return self.counts(df).select(F.inline(rows))
+        return self.counts(df, by).select(*by, F.inline(rows))
 
     def survivors(
         self, df: DataFrame, date: str = "posted_date", latest: DataFrame | None = None
@@ -131,3 +137,22 @@ def compare_funnels(first: DataFrame, second: DataFrame) -> DataFrame:
         "step", F.col("postings").alias("second"), F.col("share").alias("second_share")
     )
     return left.join(right, "step", "full_outer")
+
+
+def compare_extracts(
+    funnel: Funnel, df: DataFrame, extract: Column, first: str, second: str
+) -> DataFrame:
+    """The same table for two extracts that lie in one table, told apart by ``extract``, from
+    one pass. An extract without rows has nulls; without either there are no rows."""
+    marked = df.withColumn("_extract", extract).filter(F.col("_extract").isin(first, second))
+    steps = funnel.table(marked, by=["_extract"])
+
+    def of(label: str, value: str) -> Column:
+        return F.max(F.when(F.col("_extract") == label, F.col(value)))
+
+    return steps.groupBy("step").agg(
+        of(first, "postings").alias("first"),
+        of(first, "share").alias("first_share"),
+        of(second, "postings").alias("second"),
+        of(second, "share").alias("second_share"),
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.plans.baseline import market_tables
 from jobstrata.plans.panel import build_panel, build_stats, panel_funnel, PanelRules, run_panel_job
+from jobstrata.operators.funnel import compare_extracts, compare_funnels
 from jobstrata.presets import postings as preset
 from jobstrata.sources.readers import (
     PANEL_SCHEMA,
@@ -144,6 +145,19 @@ def test_source_contract(spark, sample, tmp_path):
         check_source(back.drop("POSTED"), RAW_SCHEMA.fieldNames())
 
 
+def test_extracts_of_one_table_compare_as_two(sample):
+    """Each extract has its own window; one without rows has nulls."""
+    funnel = panel_funnel(PanelRules())
+    half = F.when(F.col("ID") % 2 == 0, "even").otherwise("odd")
+    tables = [funnel.table(sample.where(half == h)) for h in ("even", "odd")]
+    want = sorted(map(tuple, compare_funnels(*tables).collect()))
+    assert sorted(map(tuple, compare_extracts(funnel, sample, half, "even", "odd").collect())) == want
+    alone = compare_extracts(funnel, sample, half, "even", "none").collect()
+    assert sorted(r["step"] for r in alone) == sorted(w[0] for w in want)
+    assert all(r["second"] is None for r in alone)
+    assert compare_extracts(funnel, sample, half, "no", "none").count() == 0
+
+
 def test_typed_source_contract(spark, sample, tmp_path):
     """Every file is held to the contract, named, and nothing but footers is read."""
     path = tmp_path / "raw"
