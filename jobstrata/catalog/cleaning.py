@@ -21,6 +21,7 @@ from jobstrata.functions.cells import (
     band,
     canonical_label,
     first_match,
+    has_item,
     keep_between,
     keep_labels,
     name_key,
@@ -28,9 +29,10 @@ from jobstrata.functions.cells import (
     or_label,
     relabel,
     text_list,
+    url_like,
 )
 from jobstrata.functions.pay import add_pay
-from jobstrata.functions.places import PlaceRules, state_of
+from jobstrata.functions.places import PlaceRules, nationwide, state_of
 from jobstrata.plans.panel import PAY, PLACES
 from jobstrata.presets import postings as preset
 
@@ -260,7 +262,7 @@ def url_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = F.regexp_replace("url", "^https?://", "")
     return table(spark, sf_dir, "pages").select(
         "page_id",
-        F.col("url").rlike(preset.URL_LIKE).alias("url_like"),
+        url_like(F.col("url"), preset.URL_LIKE).alias("url_like"),
         host.rlike("(?i)cheap|oraclecloud|myworkday").alias("listed_host"),
     )
 
@@ -280,7 +282,7 @@ def national_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(location.alias("location"))
         .agg(
             F.count("*").alias("postings"),
-            F.count_if(location.rlike(preset.NATIONAL)).alias("nationwide"),
+            F.count_if(nationwide(F.col("LOCATION"), preset.NATIONAL)).alias("nationwide"),
         )
     )
 
@@ -292,8 +294,8 @@ def national_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lists(spark, sf_dir).select(
         "doc_id",
-        F.array_contains("items", "the").alias("has_the"),
-        F.array_contains("items", "und").alias("has_und"),
+        has_item(F.col("items"), "the").alias("has_the"),
+        has_item(F.col("items"), "und").alias("has_und"),
     )
 
 

@@ -99,6 +99,16 @@ def or_label(col: Column, label: str) -> Column:
     return F.coalesce(col, F.lit(label))
 
 
+def url_like(col: Column, pattern: str) -> Column:
+    """Whether a name reads like a web address; null stays null."""
+    return col.rlike(pattern)
+
+
+def has_item(items: Column, item: str) -> Column:
+    """Whether a list holds the item as written; a null or empty list holds nothing."""
+    return F.coalesce(F.exists(items, lambda x: x.eqNullSafe(F.lit(item))), F.lit(False))
+
+
 def text_list(col: Column) -> Column:
     """JSON list text to a set of strings, nulls left out; text not starting with ``[`` is empty."""
     parsed = F.array_compact(F.from_json(col, "array<string>"))

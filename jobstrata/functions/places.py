@@ -66,3 +66,9 @@ def state_of(text: Column, state: Column, state_name: Column, rules: PlaceRules)
         *[F.when(text.rlike("(?i)" + p), fixed(label)) for p, label in rules.cities],
         fixed(rules.unresolved),
     )
+
+
+def nationwide(location: Column, pattern: str) -> Column:
+    """Whether a free-text location names the whole country or no place at all to go to;
+    a null or blank one names nothing."""
+    return F.coalesce(location.rlike(pattern), F.lit(False))

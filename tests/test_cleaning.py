@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.functions import cells
 from jobstrata.functions.pay import add_pay
-from jobstrata.functions.places import state_of
+from jobstrata.functions.places import nationwide, state_of
 from jobstrata.operators.funnel import title_has, title_lacks
 from jobstrata.plans.panel import PAY, PLACES
 from jobstrata.presets import postings as preset
@@ -175,3 +175,14 @@ def test_only_plain_decimal_text_is_a_number(spark):
 
 def test_null_items_leave_a_list(spark):
     assert column(spark, ['["a",null,"a"]', "[null]"], cells.text_list) == [["a"], []]
+
+
+def test_flags_of_cells(spark):
+    df = spark.createDataFrame(
+        [("Remote, United States", "acme.com", ["SQL", None]), ("Boise", "Acme", []), ("", "", None), (None, None, [None])],
+        "place string, name string, items array<string>",
+    )
+    rows = df.select(
+        nationwide(F.col("place"), preset.NATIONAL), cells.url_like(F.col("name"), preset.URL_LIKE), cells.has_item(F.col("items"), "SQL")
+    ).collect()
+    assert [tuple(r) for r in rows] == [(True, True, True), (False, False, False), (False, False, False), (False, None, False)]
