@@ -10,12 +10,20 @@ texts therefore counts hashed beginnings of windows, a table of buckets for each
 second one cuts a window where a beginning's whole bucket stays below ``least``. A bucket
 counts at least what each of its members does, so no frequent phrase is lost, and few
 distinct windows are left to be shuffled. The tables grow with the corpus up to ``MOST_BITS``;
-beyond about 2 GB of text for each 100 of ``least`` they tell less and less apart, the result
-stays exact and more windows are shuffled. On larger corpora choose ``least`` accordingly.
+beyond about 2 GB of text for each 100 of ``least`` they tell less and less apart, and the
+result stays exact. On larger corpora more windows are kept, one for each word at most.
+
+A task merges the windows of its slices and sends each distinct one once, as codes in blocks
+that bring their own words. A block holds the windows of a bucket of their first ``HEAD``
+words, so the beginnings of that many words and more meet in one place: they are counted
+exactly and windows cut again, before any row is made of them. What reaches the ROLLUP
+are the frequent phrases and rests of ``HEAD`` - 1 words.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -37,6 +45,12 @@ BYTES_PER_BUCKET = 256
 LEAST_BITS, MOST_BITS = 12, 23
 #: buckets that travel as one row
 SEGMENT_BITS = 16
+#: windows whose first words are the same meet in one block's bucket, for so many words
+HEAD = 3
+#: text that one such bucket stands for, and the least number of buckets
+BLOCK_BYTES, LEAST_BLOCKS = 16 << 20, 16
+#: windows a task holds before it merges them
+HELD = 1 << 20
 #: an unstated language
 NO_LANG = "und"
 
@@ -212,63 +226,216 @@ def _bitmaps(found: DataFrame, bits: int, longest: int) -> np.ndarray:
     return np.packbits(maps, axis=1)
 
 
-def windows(spoken: DataFrame, maps: np.ndarray, bits: int, longest: int) -> DataFrame:
-    """(lang, w1 .. w<longest>, c): the padded windows, each counted within its slice."""
-    names = [f"w{i + 1}" for i in range(longest)]
+@dataclass(frozen=True)
+class Counted:
+    """Windows and how often each occurs. A row of ``codes`` has the window's bucket, its
+    language and its words, the last two as places in ``words``; a pad is "" among them."""
+
+    words: pa.Array
+    codes: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of_slice(cls, own: Words, lengths: np.ndarray, buckets: np.ndarray, longest: int) -> Counted:
+        """The windows of ``lengths`` words that start at each word of a slice; 0: none."""
+        pad = len(own.dictionary)
+        words = pa.concat_arrays([own.dictionary, pa.array([""], own.dictionary.type), own.langs])
+        at = np.flatnonzero(lengths)
+        codes = np.full((len(at), 2 + longest), pad, np.int32)
+        codes[:, 0], codes[:, 1] = buckets[at], pad + 1 + own.lang[at]
+        for i in range(longest):
+            long = np.flatnonzero(lengths[at] > i)
+            codes[long, 2 + i] = own.codes[at[long] + i]
+        return cls(words, codes, np.ones(len(at), np.int64)).distinct().trimmed()
+
+    @classmethod
+    def merged(cls, parts: list[Counted]) -> Counted:
+        if len(parts) == 1:
+            return parts[0]
+        coded = pc.dictionary_encode(pa.concat_arrays([p.words for p in parts]))
+        place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+        starts = rows.offsets(np.array([len(p.words) for p in parts]))
+        codes = np.concatenate([p.codes for p in parts])
+        bounds = np.cumsum([0, *(len(p.codes) for p in parts)])
+        for start, a, b in zip(starts, bounds[:-1], bounds[1:]):
+            codes[a:b, 1:] = place[codes[a:b, 1:] + start]
+        return cls(coded.dictionary, codes, np.concatenate([p.counts for p in parts])).distinct()
+
+    def distinct(self) -> Counted:
+        """Each window once, ordered by its codes."""
+        key, span = np.zeros(len(self.codes), np.int64), 1
+        for column in self.codes.T:
+            high = int(column.max(initial=0)) + 1
+            if span * high >= 1 << 62:  # numbers of beginnings take the place of their codes
+                known, key = np.unique(key, return_inverse=True)
+                span = len(known)
+            key = key * high + column
+            span *= high
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        counts = np.add.reduceat(self.counts[order], first) if len(first) else self.counts
+        return Counted(self.words, self.codes[order[first]], counts)
+
+    def trimmed(self) -> Counted:
+        """Without words that no window has."""
+        used = np.zeros(len(self.words), bool)
+        used[self.codes[:, 1:]] = True
+        codes = self.codes.copy()
+        codes[:, 1:] = (np.cumsum(used, dtype=np.int32) - 1)[codes[:, 1:]]
+        return Counted(self.words.take(pa.array(np.flatnonzero(used))), codes, self.counts)
+
+    def blocks(self):
+        """The windows of one bucket after the other; they are ordered."""
+        bucket = self.codes[:, 0]
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+        for a, b in zip(starts, np.append(starts[1:], len(bucket))):
+            yield Counted(self.words, self.codes[a:b], self.counts[a:b]).trimmed()
+
+    def frequent(self, least: int) -> Counted:
+        """The windows of a whole bucket, cut after their last beginning of ``HEAD`` words
+        or more that occurs ``least`` times; shorter beginnings are met in other buckets too."""
+        words, pad = self.words, self.words.index("").as_py()
+        if pad < 0:  # no window of the bucket ended early
+            words, pad = pa.concat_arrays([words, pa.array([""], words.type)]), len(words)
+        codes = self.codes.copy()
+        longest = codes.shape[1] - 2
+        changed = np.zeros(len(codes), bool)
+        if len(codes):
+            changed[0] = True
+            changed[1:] = (codes[1:, : 1 + HEAD] != codes[:-1, : 1 + HEAD]).any(1)
+        rare = np.zeros(len(codes), bool)
+        for place in range(1 + HEAD, 2 + longest):
+            changed[1:] |= self.codes[1:, place] != self.codes[:-1, place]
+            starts = np.flatnonzero(changed)
+            sizes = np.diff(np.append(starts, len(codes)))
+            if len(starts):
+                rare |= np.repeat(np.add.reduceat(self.counts, starts) < least, sizes)
+            codes[rare, place] = pad
+        return Counted(words, codes, self.counts).distinct()
+
+    def packed(self) -> list[bytes]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        sizes = pc.binary_length(self.words).to_numpy(zero_copy_only=False)
+        body = pa.concat_arrays([self.words]).buffers()[2]
+        columns = np.ascontiguousarray(self.codes[:, 1:].T).ravel()
+        return [
+            pack(body.to_pybytes()[: int(sizes.sum())] if body else b""),
+            pack(rows._planes(sizes.astype("<u4"))),
+            pack(rows._planes(columns.astype("<u4"))),
+            pack(rows._planes(self.counts.astype("<u8"))),
+        ]
+
+    @classmethod
+    def unpacked(cls, bucket: int, body: bytes, sizes: bytes, codes: bytes, counts: bytes) -> Counted:
+        unpack = zstandard.ZstdDecompressor().decompress
+        ends = np.cumsum(np.append(0, rows._from_planes(unpack(sizes), np.dtype("<u4"))), dtype=np.int64)
+        words = pa.Array.from_buffers(
+            pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(unpack(body))]
+        )
+        own = rows._from_planes(unpack(counts), np.dtype("<u8")).astype(np.int64)
+        columns = rows._from_planes(unpack(codes), np.dtype("<u4")).reshape(-1, len(own)).T
+        first = np.full((len(own), 1), bucket)
+        return cls(words, np.concatenate([first, columns], axis=1).astype(np.int32), own)
+
+    def batches(self, names: list[str]):
+        for i in range(0, len(self.codes), 1 << 16):
+            part = self.codes[i : i + (1 << 16), 1:]
+            columns = [self.words.take(pa.array(c)).cast(pa.string()) for c in part.T]
+            columns.append(pa.array(self.counts[i : i + (1 << 16)]))
+            yield pa.record_batch(columns, names=names)
+
+
+_BLOCK = "bucket int, words binary, sizes binary, codes binary, counts binary"
+
+
+def windows(spoken: DataFrame, maps: np.ndarray, bits: int, longest: int, buckets: int) -> DataFrame:
+    """Packed blocks of the padded windows, each counted within its task."""
     shared = spoken.sparkSession.sparkContext.broadcast(maps)
+    names = [c.split()[0] for c in _BLOCK.split(", ")]
 
     def run(batches):
+        held, size = [], 0
         for batch in rows.slices(batches, "text", SLICE_BYTES):
             own = _slice_words(batch)
             if not len(own.codes):
                 continue
-            lengths, whole = np.zeros(len(own.codes), np.int8), True
-            for length, hashes, able in own.beginnings(longest):
-                at = np.flatnonzero(able & whole)
-                bucket = _bucket(hashes[at], bits)
-                bit = shared.value[length - 1][bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)
-                shorter, whole = whole, np.zeros(len(able), bool)
-                whole[at] = (bit & 1).astype(bool)
-                if length > 1:  # what follows the first word is frequent as well
-                    whole[:-1] &= shorter[1:]
-                lengths[whole] = length
-            yield from _counted(own, lengths, longest, names)
+            held.append(kept(own))
+            size += len(held[-1].codes)
+            if size >= HELD:
+                held = [Counted.merged(held)]
+                size = len(held[0].codes)
+                if size >= HELD // 2:
+                    yield from sent(held[0])
+                    held, size = [], 0
+        if size:
+            yield from sent(Counted.merged(held))
+        del held
+        rows.give_back()
+
+    def kept(own):
+        lengths, whole = np.zeros(len(own.codes), np.int8), True
+        met = np.zeros(len(own.codes), np.int32)
+        for length, hashes, able in own.beginnings(longest):
+            at = np.flatnonzero(able & whole)
+            bucket = _bucket(hashes[at], bits)
+            bit = shared.value[length - 1][bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)
+            shorter, whole = whole, np.zeros(len(able), bool)
+            whole[at] = (bit & 1).astype(bool)
+            if length > 1:  # what follows the first word is frequent as well
+                whole[:-1] &= shorter[1:]
+            lengths[whole] = length
+            if length <= HEAD:
+                met[whole] = hashes[whole] % np.uint64(buckets)
+        return Counted.of_slice(own, lengths, met, longest)
+
+    def sent(counted):
+        for block in counted.blocks():
+            cells = [int(block.codes[0, 0]), *block.packed()]
+            types = (pa.int32(), *[pa.binary()] * 4)
+            yield pa.record_batch([pa.array([c], t) for c, t in zip(cells, types)], names=names)
+
+    return spoken.mapInArrow(run, _BLOCK)
+
+
+def whole_windows(sent: DataFrame, longest: int, least: int) -> DataFrame:
+    """(lang, w1 .. w<longest>, c): the windows of all tasks, cut at rare beginnings."""
+    names = [f"w{i + 1}" for i in range(longest)]
+
+    def run(batches):
+        last, held, size, most = None, [], 0, HELD
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bucket, *body = (c[i].as_py() for c in batch.columns)
+                if bucket != last and held:
+                    yield from Counted.merged(held).frequent(least).batches(["lang", *names, "c"])
+                    held, size, most = [], 0, HELD
+                last = bucket
+                held.append(Counted.unpacked(bucket, *body))
+                size += len(held[-1].codes)
+                if size >= most:
+                    held = [Counted.merged(held)]
+                    size = len(held[0].codes)
+                    most = max(HELD, 2 * size)
+        if held:
+            yield from Counted.merged(held).frequent(least).batches(["lang", *names, "c"])
+        del held
+        rows.give_back()
 
     columns = ", ".join(f"{n} string" for n in names)
-    return spoken.mapInArrow(run, f"lang string, {columns}, c long")
-
-
-def _counted(own: Words, lengths: np.ndarray, longest: int, names: list[str]):
-    """The slice's distinct windows, those of one length after the other."""
-    words = pa.concat_arrays([own.dictionary, pa.array([""], own.dictionary.type)])
-    pad = len(own.dictionary)
-    for length in range(1, longest + 1):
-        whole = np.flatnonzero(lengths == length)
-        if not len(whole):
-            continue
-        key = own.lang[whole]
-        for i in range(length):
-            # codes of longer and longer beginnings, kept below the number of windows
-            key = np.unique(key * (pad + 1) + own.codes[whole + i], return_inverse=True)[1]
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        whole = whole[first]
-        for i in range(0, len(whole), 1 << 16):
-            part = whole[i : i + (1 << 16)]
-            columns = [own.langs.take(pa.array(own.lang[part])).cast(pa.string())]
-            for j in range(longest):
-                codes = own.codes[part + j] if j < length else np.full(len(part), pad)
-                columns.append(words.take(pa.array(codes)).cast(pa.string()))
-            columns.append(pa.array(counts[i : i + (1 << 16)].astype(np.int64)))
-            yield pa.record_batch(columns, names=["lang", *names, "c"])
+    return (
+        sent.repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(run, f"lang string, {columns}, c long")
+    )
 
 
 def phrase_counts(counted: DataFrame, longest: int, least: int) -> DataFrame:
     """(lang, words, f) of all phrases that occur ``least`` times, from the windows."""
     names = [f"w{i + 1}" for i in range(longest)]
-    merged = counted.groupBy("lang", *names).agg(F.sum("c").alias("c"))
     level = longest - F.size(F.filter(F.array(*(F.grouping(n) for n in names)), lambda g: g == 1))
     summed = (
-        merged.withColumn("of", F.col("lang"))
+        counted.withColumn("of", F.col("lang"))
         .rollup("of", *names)
         .agg(F.sum("c").alias("f"), level.alias("level"))
         .where((F.col("f") >= least) & (F.col("level") > 0) & F.col("of").isNotNull())
@@ -379,7 +546,8 @@ def collocations(
     counted = stored(bucket_counts(spoken, bits, longest, least), "collocation-buckets")
     totals = counted.where("part = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     maps = _bitmaps(frequent_buckets(counted, least), bits, longest)
-    found = windows(spoken, maps, bits, longest)
+    buckets = max(LEAST_BLOCKS, 1 << (size // BLOCK_BYTES).bit_length())
+    found = whole_windows(windows(spoken, maps, bits, longest, buckets), longest, least)
     phrases = stored(phrase_counts(found, longest, least), "collocation-phrases")
     kept = best_cuts(phrases, totals, longest).join(
         absorbed(phrases, percent), ["lang", "phrase"], "left_anti"

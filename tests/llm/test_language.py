@@ -102,6 +102,34 @@ def test_collocations_partly_absorbed(spark, docs):
     assert sorted(map(tuple, found.collect())) == phrases_by_hand(docs, 5, 3, 2000, 60)
 
 
+def test_windows_are_merged_before_rows(spark, monkeypatch):
+    """One row per window that is left, although slices and tasks all have it; the tables cut nothing."""
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 40)
+    docs = [(i, f"a b c d e. a b c d x{i} y{i}", "en") for i in range(60)]
+    spoken = frame(spark, docs).select("lang", "text")
+    maps = np.full((5, 2), 255, np.uint8)
+    sent = collocations.windows(spoken, maps, 4, 5, 8).cache()
+    made = collocations.whole_windows(sent, 5, 50).collect()
+    sent.unpersist()
+    assert {tuple(r)[1:] for r in made if r["c"] >= 50} == {
+        ("a", "b", "c", "d", "e", 60), ("a", "b", "c", "d", "", 60), ("b", "c", "d", "e", "", 60),
+        ("b", "c", "d", "", "", 60), ("c", "d", "e", "", "", 60), ("d", "e", "", "", "", 60),
+        ("e", "", "", "", "", 60),
+    }
+    assert sum(r["c"] for r in made) == 60 * 11
+    assert all(r["w3"] == "" for r in made if r["c"] < 50)
+    # rests of two words at most: (c, d), (d, x), (x, y), (y)
+    assert len(made) <= 7 + 8 + 3 * 60
+
+
+@pytest.mark.parametrize("held", [1, 7, 1 << 20])
+def test_collocations_in_small_merges(spark, docs, monkeypatch, held):
+    monkeypatch.setattr(collocations, "HELD", held)
+    given = [*docs, *((i, "of the a b c d e", "") for i in range(3))]
+    found = collocations.collocations(frame(spark, given), least=3)
+    assert sorted(map(tuple, found.collect())) == phrases_by_hand(given, 5, 3, 2000)
+
+
 def test_scores_beyond_64_bits(spark):
     from pyspark.sql import functions as F
 
