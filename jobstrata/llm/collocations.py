@@ -16,8 +16,9 @@ result stays exact. On larger corpora more windows are kept, one for each word a
 A task merges the windows of its slices and sends each distinct one once, as codes in blocks
 that bring their own words. A block holds the windows of a bucket of their first ``HEAD``
 words, so the beginnings of that many words and more meet in one place: they are counted
-exactly and windows cut again, before any row is made of them. What reaches the ROLLUP
-are the frequent phrases and rests of ``HEAD`` - 1 words.
+exactly and windows cut again. What is left goes by the bucket of its first word, where shorter
+beginnings are counted and windows cut for the last time, before any row is made of
+them. What reaches the ROLLUP are windows that are frequent phrases, each once.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ SEGMENT_BITS = 16
 HEAD = 3
 #: text that one such bucket stands for, and the least number of buckets
 BLOCK_BYTES, LEAST_BLOCKS = 16 << 20, 16
+#: the columns of a block
+_BLOCK = "bucket int, words binary, sizes binary, codes binary, counts binary"
 #: windows a task holds before it merges them
 HELD = 1 << 20
 #: an unstated language
@@ -292,8 +295,8 @@ class Counted:
         for a, b in zip(starts, np.append(starts[1:], len(bucket))):
             yield Counted(self.words, self.codes[a:b], self.counts[a:b]).trimmed()
 
-    def frequent(self, least: int) -> Counted:
-        """The windows of a whole bucket, cut after their last beginning of ``HEAD`` words
+    def frequent(self, least: int, head: int) -> Counted:
+        """The windows of a whole bucket, cut after their last beginning of ``head`` words
         or more that occurs ``least`` times; shorter beginnings are met in other buckets too."""
         words, pad = self.words, self.words.index("").as_py()
         if pad < 0:  # no window of the bucket ended early
@@ -303,28 +306,42 @@ class Counted:
         changed = np.zeros(len(codes), bool)
         if len(codes):
             changed[0] = True
-            changed[1:] = (codes[1:, : 1 + HEAD] != codes[:-1, : 1 + HEAD]).any(1)
+            changed[1:] = (codes[1:, : 1 + head] != codes[:-1, : 1 + head]).any(1)
         rare = np.zeros(len(codes), bool)
-        for place in range(1 + HEAD, 2 + longest):
+        for place in range(1 + head, 2 + longest):
             changed[1:] |= self.codes[1:, place] != self.codes[:-1, place]
             starts = np.flatnonzero(changed)
             sizes = np.diff(np.append(starts, len(codes)))
             if len(starts):
                 rare |= np.repeat(np.add.reduceat(self.counts, starts) < least, sizes)
             codes[rare, place] = pad
-        return Counted(words, codes, self.counts).distinct()
+        some = codes[:, 2] != pad
+        return Counted(words, codes[some], self.counts[some]).distinct()
+
+    def by_first_word(self, buckets: int) -> Counted:
+        """The windows in buckets of their first word."""
+        of_word = Words._hashes(self.words, "collocation-word")[self.codes[:, 2]]
+        of_lang = Words._hashes(self.words, "collocation-lang")[self.codes[:, 1]]
+        codes = self.codes.copy()
+        codes[:, 0] = rows.stirred(of_word ^ of_lang) % np.uint64(buckets)
+        return Counted(self.words, codes, self.counts).distinct()
 
-    def packed(self) -> list[bytes]:
+    def packed(self) -> pa.RecordBatch:
+        """A block's row."""
         pack = zstandard.ZstdCompressor(level=1).compress
         sizes = pc.binary_length(self.words).to_numpy(zero_copy_only=False)
         body = pa.concat_arrays([self.words]).buffers()[2]
         columns = np.ascontiguousarray(self.codes[:, 1:].T).ravel()
-        return [
+        cells = [
             pack(body.to_pybytes()[: int(sizes.sum())] if body else b""),
             pack(rows._planes(sizes.astype("<u4"))),
             pack(rows._planes(columns.astype("<u4"))),
             pack(rows._planes(self.counts.astype("<u8"))),
         ]
+        return pa.record_batch(
+            [pa.array(self.codes[:1, 0]), *(pa.array([c], pa.binary()) for c in cells)],
+            names=[c.split()[0] for c in _BLOCK.split(", ")],
+        )
 
     @classmethod
     def unpacked(cls, bucket: int, body: bytes, sizes: bytes, codes: bytes, counts: bytes) -> Counted:
@@ -346,13 +363,9 @@ class Counted:
             yield pa.record_batch(columns, names=names)
 
 
-_BLOCK = "bucket int, words binary, sizes binary, codes binary, counts binary"
-
-
 def windows(spoken: DataFrame, maps: np.ndarray, bits: int, longest: int, buckets: int) -> DataFrame:
     """Packed blocks of the padded windows, each counted within its task."""
     shared = spoken.sparkSession.sparkContext.broadcast(maps)
-    names = [c.split()[0] for c in _BLOCK.split(", ")]
 
     def run(batches):
         held, size = [], 0
@@ -366,10 +379,10 @@ def windows(spoken: DataFrame, maps: np.ndarray, bits: int, longest: int, bucket
                 held = [Counted.merged(held)]
                 size = len(held[0].codes)
                 if size >= HELD // 2:
-                    yield from sent(held[0])
+                    yield from (block.packed() for block in held[0].blocks())
                     held, size = [], 0
         if size:
-            yield from sent(Counted.merged(held))
+            yield from (block.packed() for block in Counted.merged(held).blocks())
         del held
         rows.give_back()
 
@@ -389,18 +402,12 @@ def windows(spoken: DataFrame, maps: np.ndarray, bits: int, longest: int, bucket
                 met[whole] = hashes[whole] % np.uint64(buckets)
         return Counted.of_slice(own, lengths, met, longest)
 
-    def sent(counted):
-        for block in counted.blocks():
-            cells = [int(block.codes[0, 0]), *block.packed()]
-            types = (pa.int32(), *[pa.binary()] * 4)
-            yield pa.record_batch([pa.array([c], t) for c, t in zip(cells, types)], names=names)
-
     return spoken.mapInArrow(run, _BLOCK)
 
 
-def whole_windows(sent: DataFrame, longest: int, least: int) -> DataFrame:
-    """(lang, w1 .. w<longest>, c): the windows of all tasks, cut at rare beginnings."""
-    names = [f"w{i + 1}" for i in range(longest)]
+def _met(sent: DataFrame, head: int, least: int, onward, schema: str) -> DataFrame:
+    """What ``onward`` makes of the windows of each whole bucket, cut at rare beginnings of
+    ``head`` words and more."""
 
     def run(batches):
         last, held, size, most = None, [], 0, HELD
@@ -408,7 +415,7 @@ def whole_windows(sent: DataFrame, longest: int, least: int) -> DataFrame:
             for i in range(batch.num_rows):
                 bucket, *body = (c[i].as_py() for c in batch.columns)
                 if bucket != last and held:
-                    yield from Counted.merged(held).frequent(least).batches(["lang", *names, "c"])
+                    yield from onward(Counted.merged(held).frequent(least, head))
                     held, size, most = [], 0, HELD
                 last = bucket
                 held.append(Counted.unpacked(bucket, *body))
@@ -418,16 +425,28 @@ def whole_windows(sent: DataFrame, longest: int, least: int) -> DataFrame:
                     size = len(held[0].codes)
                     most = max(HELD, 2 * size)
         if held:
-            yield from Counted.merged(held).frequent(least).batches(["lang", *names, "c"])
+            yield from onward(Counted.merged(held).frequent(least, head))
         del held
         rows.give_back()
 
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+
+
+def whole_windows(sent: DataFrame, longest: int, least: int, buckets: int) -> DataFrame:
+    """(lang, w1 .. w<longest>, c): the windows of all tasks, each once and cut after its last
+    beginning that occurs ``least`` times; without one it is left out."""
+    names = [f"w{i + 1}" for i in range(longest)]
     columns = ", ".join(f"{n} string" for n in names)
-    return (
-        sent.repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(run, f"lang string, {columns}, c long")
-    )
+    fewer = max(LEAST_BLOCKS, buckets // 4)
+
+    def again(counted):
+        return (block.packed() for block in counted.by_first_word(fewer).blocks())
+
+    def as_rows(counted):
+        return counted.batches(["lang", *names, "c"])
+
+    rests = _met(sent, HEAD, least, again, _BLOCK)
+    return _met(rests, 1, least, as_rows, f"lang string, {columns}, c long")
 
 
 def phrase_counts(counted: DataFrame, longest: int, least: int) -> DataFrame:
@@ -547,7 +566,7 @@ def collocations(
     totals = counted.where("part = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     maps = _bitmaps(frequent_buckets(counted, least), bits, longest)
     buckets = max(LEAST_BLOCKS, 1 << (size // BLOCK_BYTES).bit_length())
-    found = whole_windows(windows(spoken, maps, bits, longest, buckets), longest, least)
+    found = whole_windows(windows(spoken, maps, bits, longest, buckets), longest, least, buckets)
     phrases = stored(phrase_counts(found, longest, least), "collocation-phrases")
     kept = best_cuts(phrases, totals, longest).join(
         absorbed(phrases, percent), ["lang", "phrase"], "left_anti"
