@@ -248,6 +248,27 @@ def test_language_model_counts(spark, docs):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_words_beyond_the_heads_are_all_there(spark, docs, monkeypatch):
+    """The most frequent words get cells of their own; every other one has a shared cell and its
+    exact count, and a shared cell's words and its unseen one add up to 1."""
+    monkeypatch.setattr(maxent_lm, "HEADS", 5)
+    given = frame(spark, docs).selectExpr("doc_id", "false AS held_out", "coalesce(text, '') AS text")
+    words = maxent_lm.word_table(maxent_lm.numbered(given))
+    found = {r["word"]: r for r in words.collect()}
+    counts = Counter(w for _, t, *_ in docs for w in [*WORD.findall(lower(t)), ""])
+    assert words.count() == len(counts) and {w: r["c"] for w, r in found.items()} == counts
+    heads = sorted(counts, key=lambda w: (-counts[w], w))[:5]
+    assert [found[w]["cell"] for w in heads] == [0, 1, 2, 3, 4]
+    known = maxent_lm.vocabulary(words)
+    assert known.tokens == sum(counts.values()) and known.words == len(counts)
+    shares = Counter()
+    for w, r in found.items():
+        assert w in heads or 5 <= r["cell"] < maxent_lm.CELLS
+        size = known.cell_tokens[r["cell"]] + known.cell_words[r["cell"]] + 1
+        shares[r["cell"]] += (r["c"] + 1) / size
+    assert all(math.isclose(p + 1 / (known.cell_tokens[c] + known.cell_words[c] + 1), 1) for c, p in shares.items())
+
+
 def test_held_out_texts_change_nothing(spark, docs):
     """Other words in the held-out fold leave all other scores as they were."""
     changed = [(i, t if fold(i) != 2 else "secret words " * 50, lang) for i, t, lang in docs]
