@@ -7,15 +7,19 @@ between classes.
 * Shingles are ordered, frequent ones last. A set of n shingles whose link needs an overlap
   of o shares a shingle with its partner within the first n - o + 1 (the prefix), and two
   within the first n - o + 2.
-  More generally k shingles are shared within the first n - o + k. Heavy sets take k as a
-  small share of n: a set with fewer shared keys than any link would need leaves the join
-  before any text is looked at, which removes sets that share a few shingles by chance.
 * Light sets enumerate all two-element subsets of the longer prefix: few, and rarely
-  shared by chance. Heavy sets put each shingle of the prefix into an inverted list; light
-  sets large enough to have a heavy partner do both. The boundary has the least cost:
-  subsets written against list entries written and read.
-* All sets that share a key meet through the key's hub, the member with the most shared
-  keys, and no pairs are listed. Each member is written once for each of its hubs, as
+  shared by chance. Heavy sets go into inverted lists; light sets large enough to have a
+  heavy partner do both. The boundary has the least keys.
+* A list of one shingle would hold all sets that have it by chance, and in a large corpus
+  every long text shares many. So a list is of the sets that are equal in a part of all
+  shingles: the hashes are dealt into some more parts than linked sets of about one size can
+  have differences, and so linked sets share as many parts as were added. Parts without
+  shingles are no keys and count as not shared; a set with too many of these also puts the
+  shingles of its prefix into lists, as does any partner with which it has only such parts.
+* Two sets that share half as many keys as they need in lists of few sets meet as a pair.
+  Others need the rest in lists of more sets. There all sets that share a key meet through the
+  key's hub, the member with the most shared keys, and no pairs are listed.
+* Each member is written once for each of its hubs, as
   its difference from the hub. In a hub's block, members close to the hub are linked to it;
   the others are tried against the block through lists of the differences, exactly, since
   |x ^ y| = |(x ^ hub) ^ (y ^ hub)|. A block gives a spanning forest of its links.
@@ -24,7 +28,6 @@ between classes.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,11 +45,15 @@ PERCENT = 85
 #: the share's inverse times the mean set size, whatever the number of documents
 FREQUENT_SHARE = 1 / 1000
 SEEN_IN_SLICE = 4
-#: what a list entry costs beside a subset: it is also read against its list
-LIST_COST = 4
 LARGEST_LIGHT = 96
-#: list prefixes are longer by this many percent of the set, and as many keys must be shared
-SPARE = 5
+#: parts beyond the differences of linked sets, in percent of these; as many must be shared
+SPARE = 20
+#: members of a list up to which its pairs are counted
+FEW = 4
+#: what a key's place has beside the document: the list group (0 for subsets) and the need
+GROUP_BITS, MOST_NEED = 11, 1 << 19
+#: a bucket of keys has 2^this as much text as one of other strings, so that rows stay long
+WIDER_BITS = 3
 BLOCK_MEMBERS = 4096
 PROFILE_BYTES = 8 << 20
 #: text that is split into words at a time, and keys a task holds before it sends them
@@ -60,8 +67,54 @@ def needed_overlap(n: int, percent: int = PERCENT) -> int:
 
 
 def list_prefix(n, percent: int = PERCENT):
-    """How many shingles of a set (or an array of sizes) go into lists."""
-    return n - needed_overlap(n, percent) + 1 + SPARE * n // 100
+    """How many shingles of a set (or an array of sizes) hold one of any partner's first ones."""
+    return n - needed_overlap(n, percent) + 1
+
+
+def size_classes(largest: int, percent: int = PERCENT) -> np.ndarray:
+    """The least size of every class up to that of ``largest`` and of two more. Partners of a
+    class's sets are in the class or in one beside it."""
+    least = [1]
+    while least[-1] <= largest:
+        least.append(100 * least[-1] // percent + 1)
+    return np.array([*least, 100 * least[-1] // percent + 1], np.int64)
+
+
+def parts_of(group: np.ndarray, classes: np.ndarray, percent: int = PERCENT):
+    """(parts, how many of them linked sets share at least) of each group of lists: of sets of
+    the group's class and the class before it."""
+    apart = (100 - percent) * 2 * (classes[group + 1] - 1) // (100 + percent)
+    shared = 2 + SPARE * apart // 100
+    return apart + shared, shared
+
+
+def part_keys(hashes: np.ndarray, counts: np.ndarray, percent: int = PERCENT):
+    """For both groups of each set (ascending hashes, none empty): (keys, owners, needs, groups)
+    of its parts with shingles, then of the prefix of the sets that can share empty parts only.
+    The need is how many keys a set shares with any partner in the group, where it is positive."""
+    classes = size_classes(int(counts.max()), percent)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    own_class = np.searchsorted(classes, counts, side="right") - 1
+    in_prefix = np.arange(len(hashes)) - rows.offsets(counts)[owner] < list_prefix(counts, percent)[owner]
+    low = np.uint64(32)
+    for group in (own_class, own_class + 1):
+        parts, shared = parts_of(group, classes, percent)
+        part = ((hashes >> low) * parts[owner].astype(np.uint64)) >> low
+        fresh = np.ones(len(hashes), bool)
+        fresh[1:] = (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])
+        starts = np.flatnonzero(fresh)
+        own = owner[starts]
+        need = shared - parts + np.bincount(own, minlength=len(counts))
+        tag = (part[starts] << np.uint64(GROUP_BITS)) | group[own].astype(np.uint64)
+        content = np.add.reduceat(hashes, starts)
+        yield _tagged(content, tag), own, need[own], group[own]
+        weak = np.flatnonzero((need < 1)[owner] & in_prefix)
+        tag = ~group[owner[weak]].astype(np.uint64)
+        yield _tagged(hashes[weak], tag), owner[weak], need[owner[weak]], group[owner[weak]]
+
+
+def _tagged(hashes: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    return rows.stirred(hashes * rows.BASE + rows.stirred(tag))
 
 
 def shingle_sets(values: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,11 +175,11 @@ def _profile(width: int):
 
 
 def light_boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
-    """The size up to which subsets are enumerated, at the least cost; 0 for none.
+    """The size up to which subsets are enumerated, with the least keys; 0 for none.
 
     ``sizes`` counts the sets of each size up to ``LARGEST_LIGHT``.
     """
-
+    classes = size_classes(LARGEST_LIGHT, percent)
     best, at = None, 0
     for boundary in range(0, LARGEST_LIGHT + 1):
         cost = 0
@@ -135,14 +188,15 @@ def light_boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
                 first = n - needed_overlap(n, percent) + 2
                 cost += count * first * (first - 1) // 2
             if n > boundary or 100 * n >= percent * (boundary + 1):
-                cost += count * LIST_COST * list_prefix(n, percent)
+                own = np.searchsorted(classes, n, side="right") - 1
+                cost += count * int(parts_of(np.array([own, own + 1]), classes, percent)[0].sum())
         if best is None or cost < best:
             best, at = cost, boundary
     return at
 
 
 def _key_rows(frequent, boundary: int, width: int, percent: int, bits: int):
-    """The keys of every set that can have an unequal partner, at (document, set size)."""
+    """The keys of every set that can have an unequal partner, at (document, need and group)."""
 
     def run(batches):
         ranks = frequent.value  # hashes of frequent shingles, ascending, and their ranks
@@ -156,28 +210,31 @@ def _key_rows(frequent, boundary: int, width: int, percent: int, bits: int):
             open_ = 100 * (counts - 1) >= percent * counts
             open_ |= 100 * counts >= percent * (counts + 1)
             owner = np.repeat(np.arange(n), counts)
+            docs = batch.column(0).to_numpy(zero_copy_only=False)
+            light = counts <= boundary
+            listed = open_ & (~light | (100 * counts >= percent * (boundary + 1)))
+            if listed.any():
+                own_docs = docs[listed]
+                for keys, own, need, group in part_keys(hashes[listed[owner]], counts[listed], percent):
+                    beside = np.clip(need, 1, MOST_NEED) << GROUP_BITS | group + 1
+                    sent.add(keys, 0, own_docs[own], beside)
+            light &= open_
+            hashes, owner = hashes[light[owner]], owner[light[owner]]
             rank = np.zeros(len(hashes), np.int64)
             if len(ranks[0]):
                 near = np.minimum(np.searchsorted(ranks[0], hashes), len(ranks[0]) - 1)
                 rank = np.where(ranks[0][near] == hashes, ranks[1][near], 0)
-            order = np.lexsort([hashes, rank, owner])
-            hashes = hashes[order]
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            starts = rows.offsets(counts)
-            place = np.arange(len(hashes)) - starts[owner]
-            light = counts <= boundary
-            listed = open_ & (~light | (100 * counts >= percent * (boundary + 1)))
-            own = listed[owner] & (place < list_prefix(counts, percent)[owner])
-            sent.add(hashes[own], 0, docs[owner[own]], counts[owner[own]])
-            for size in np.unique(counts[open_ & light]):
-                which = np.flatnonzero(open_ & light & (counts == size))
+            hashes = hashes[np.lexsort([hashes, rank, owner])]
+            starts = rows.offsets(np.where(light, counts, 0))
+            for size in np.unique(counts[light]):
+                which = np.flatnonzero(light & (counts == size))
                 first = int(size - needed_overlap(int(size), percent) + 2)
                 a, b = np.triu_indices(min(first, int(size)), 1)
                 x = hashes[starts[which][:, None] + a[None, :]]
                 y = hashes[starts[which][:, None] + b[None, :]]
                 low, high = np.minimum(x, y), np.maximum(x, y)
                 subset = rows.stirred(low * rows.BASE + high).ravel()
-                sent.add(subset, 0, np.repeat(docs[which], len(a)), np.full(len(subset), size))
+                sent.add(subset, 0, np.repeat(docs[which], len(a)), 1 << GROUP_BITS)
         yield from sent.batches()
         rows.give_back()
 
@@ -334,6 +391,46 @@ def _frequent(spark: SparkSession, profile: DataFrame, n_docs: int):
     return spark.sparkContext.broadcast((hashes[order], times[order]))
 
 
+def _met_alone(close: DataFrame) -> DataFrame:
+    """(hub, doc) of sets that share half of the keys they need in lists of few sets."""
+    few = close.where(F.col("size") <= FEW).groupBy("h")
+    # FEW members at most
+    lists = few.agg(F.sort_array(F.collect_list(F.struct("doc", "need", "grp"))).alias("m"))
+    met = lists.select(
+        F.explode(
+            F.expr(
+                "flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> "
+                "struct(x.doc AS hub, y.doc AS doc, x.grp AS grp, greatest(x.need, y.need) AS need))))"
+            )
+        ).alias("p")
+    ).select("p.*")
+    enough = (
+        met.groupBy("hub", "doc", "grp")
+        .agg(F.count("*").alias("keys"), F.max("need").alias("need"))
+        .where("2 * keys >= need")
+    )
+    return enough.select("hub", F.explode(F.array("hub", "doc")).alias("doc"))
+
+
+def _met_at_hubs(close: DataFrame) -> DataFrame:
+    """(hub, doc) of sets that can have half of the keys they need in lists of more sets."""
+    many = close.where(F.col("size") > FEW)
+    able = (
+        many.groupBy("doc", "grp")
+        .agg(F.count("*").alias("keys"), F.first("need").alias("need"))
+        .where("2 * keys > need")
+        .select("doc", "grp")
+    )
+    members = many.join(able, ["doc", "grp"], "left_semi").select("h", "doc")
+    degree = members.groupBy("doc").agg(F.count("*").alias("degree"))
+    held = members.join(degree, "doc")
+    hubs = held.groupBy("h").agg(
+        F.max(F.struct("degree", (-F.col("doc")).alias("low"))).alias("top"),
+        F.count("*").alias("size"),
+    )
+    return held.join(hubs.where("size > 1"), "h").select((-F.col("top.low")).alias("hub"), "doc")
+
+
 def jaccard_groups(
     docs: DataFrame,
     key: str = "doc_id",
@@ -376,42 +473,23 @@ def jaccard_groups(
     )
     boundary = light_boundary({r["n"]: r["count"] for r in sizes}, percent)
     frequent = _frequent(spark, profile, classes.count())
-    bits = rows.bucket_bits(docs, text)
+    bits = max(6, rows.bucket_bits(docs, text) - WIDER_BITS)
     sent = texts.mapInArrow(
         _key_rows(frequent, boundary, width, percent, bits), rows.Occurrences.SCHEMA
     )
-    # sizes of linked sets fall into one class or two adjoining ones, so a key is split by them
-    band = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9)))
-    places = (
+    places = checkpointed(
         rows.wanted_places(sent, every=True)
-        .withColumnRenamed("pos", "n")
         .join(leaders, "doc", "left_semi")
-        .withColumn("band", F.explode(F.array(band, band + 1)))
-    )
-    crowded = places.groupBy("h", "band").agg(F.count("*").alias("size")).where("size > 1")
-    close = places.join(crowded, ["h", "band"]).select("h", "band", "doc", "n")
-    # the smallest partner's count of shared keys binds; light sets need one subset only
-    need = F.expr(f"1 + {SPARE} * (({percent} * n + 99) div 100) div 100")
-    able = (
-        close.groupBy("doc", "n")
-        .agg(F.count("*").alias("keys"))
-        .where((F.col("n") <= boundary) | (F.col("keys") >= need))
-        .select("doc")
-    )
-    members = checkpointed(
-        close.join(able, "doc", "left_semi").select(F.xxhash64("h", "band").alias("h"), "doc")
-    )
-    degree = members.groupBy("doc").agg(F.count("*").alias("degree"))
-    held = members.join(degree, "doc")
-    hubs = held.groupBy("h").agg(
-        F.max(F.struct("degree", (-F.col("doc")).alias("low"))).alias("top"),
-        F.count("*").alias("size"),
-    )
-    pairs = checkpointed(
-        held.join(hubs.where("size > 1"), "h")
-        .select((-F.col("top.low")).alias("hub"), "doc")
-        .distinct()
+        .select(
+            "h",
+            "doc",
+            F.shiftright("pos", GROUP_BITS).alias("need"),
+            F.col("pos").bitwiseAND((1 << GROUP_BITS) - 1).alias("grp"),
+        )
     )
+    crowded = places.groupBy("h").agg(F.count("*").alias("size")).where("size > 1")
+    close = checkpointed(places.join(crowded, "h"))
+    pairs = checkpointed(_met_alone(close).union(_met_at_hubs(close)).distinct())
     parts = pairs.groupBy("hub").agg(
         F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int").alias("parts")
     )

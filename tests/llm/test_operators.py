@@ -208,6 +208,42 @@ def test_a_chain_of_near_copies_is_one_component(spark):
     assert got(jaccard_join.jaccard_groups(df), "n_shingles", "component_id") == want
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 97])
+def test_linked_sets_share_the_keys_they_need(percent):
+    """In a common group of lists, whatever differs; sets with empty parts only share a shingle."""
+    rng = np.random.default_rng(percent)
+    weak = 0
+    for n in [2, 3, 7, 12, 13, 25, 40, 41, 99, 300, 1200] * 4:
+        common = -(-percent * n // 100)
+        more = rng.integers(0, n - common + 1)
+        hashes = rng.integers(0, 1 << 64, n, np.uint64, endpoint=False)
+        x, y = np.sort(hashes[: common + more]), np.sort(np.delete(hashes, slice(common, common + more)))
+        counts = np.array([len(x), len(y)])
+        seen = [{}, {}]
+        for keys, own, need, group in jaccard_join.part_keys(np.concatenate([x, y]), counts, percent):
+            for k, o, d, g in zip(keys.tolist(), own.tolist(), need.tolist(), group.tolist()):
+                seen[o].setdefault(g, (d, set()))[1].add(k)
+        both = [(max(1, *(s[g][0] for s in seen)), seen[0][g][1] & seen[1][g][1]) for g in seen[0] if g in seen[1]]
+        assert both and any(len(shared) >= need for need, shared in both)
+        weak += max(need for need, _ in both) == 1
+    assert weak
+
+
+def test_sharing_with_many_sets_is_not_sharing_with_one(spark, monkeypatch):
+    """Texts of common passages: every shingle is shared, no text with one other meets it."""
+    rng = random.Random(3)
+    passages = [words_of(rng, 40, 4000) for _ in range(60)]
+    docs = [(i, " ".join(rng.sample(passages, 8))) for i in range(0, 160, 2)]
+    docs += [(2 * i + 1, f"{docs[i][1]} end") for i in range(0, 80, 10)]
+    kept = []
+    keep = jaccard_join.checkpointed
+    monkeypatch.setattr(jaccard_join, "checkpointed", lambda df: kept.append(keep(df)) or kept[-1])
+    found = got(jaccard_join.jaccard_groups(frame(spark, docs)), "n_shingles", "component_id")
+    assert found == groups(docs, 4, 85)
+    met = {(r.hub, r.doc) for df in kept if df.columns == ["hub", "doc"] for r in df.collect()}
+    assert met == {(2 * i, d) for i in range(0, 80, 10) for d in (2 * i, 2 * i + 1)}
+
+
 def test_light_boundary_follows_cost():
     assert jaccard_join.light_boundary({}) == 0
     at = jaccard_join.light_boundary({n: 10 for n in range(7, 97)})
