@@ -17,8 +17,10 @@ between classes.
   shingles are no keys and count as not shared; a set with too many of these also puts the
   shingles of its prefix into lists, as does any partner with which it has only such parts.
 * Two sets that share half as many keys as they need in lists of few sets meet as a pair.
-  Others need the rest in lists of more sets. There all sets that share a key meet through the
-  key's hub, the member with the most shared keys, and no pairs are listed.
+  Others need the rest in lists of more sets. There all sets that share a key meet at the
+  key's hub, and no pairs are listed. A list's first hub is its member with the most shared
+  keys; then the list moves to the hub that the most sets would have of those that its members
+  have most often, so that a large group of copies of copies has few hubs.
 * Each member is written once for each of its hubs, as
   its difference from the hub. In a hub's block, members close to the hub are linked to it;
   the others are tried against the block through lists of the differences, exactly, since
@@ -421,14 +423,21 @@ def _met_at_hubs(close: DataFrame) -> DataFrame:
         .where("2 * keys > need")
         .select("doc", "grp")
     )
-    members = many.join(able, ["doc", "grp"], "left_semi").select("h", "doc")
-    degree = members.groupBy("doc").agg(F.count("*").alias("degree"))
-    held = members.join(degree, "doc")
-    hubs = held.groupBy("h").agg(
-        F.max(F.struct("degree", (-F.col("doc")).alias("low"))).alias("top"),
-        F.count("*").alias("size"),
-    )
-    return held.join(hubs.where("size > 1"), "h").select((-F.col("top.low")).alias("hub"), "doc")
+    members = checkpointed(many.join(able, ["doc", "grp"], "left_semi").select("h", "doc"))
+    degree = members.groupBy("doc").agg(F.count("*").alias("weight"))
+    first = _heaviest(members.join(degree, "doc").withColumn("hub", F.col("doc")), "h")
+    votes = members.join(first, "h").groupBy("doc", "hub").agg(F.count("*").alias("weight"))
+    own = checkpointed(_heaviest(votes, "doc"))
+    fame = own.groupBy("hub").agg(F.count("*").alias("weight"))
+    hubs = _heaviest(members.join(own.join(fame, "hub"), "doc"), "h")
+    pairs = members.join(hubs, "h").select("hub", "doc")
+    return pairs.union(hubs.select("hub", F.col("hub").alias("doc")))
+
+
+def _heaviest(candidates: DataFrame, key: str) -> DataFrame:
+    """(key, hub) with the greatest weight, then the least hub."""
+    top = F.max(F.struct("weight", (-F.col("hub")).alias("low")))
+    return candidates.groupBy(key).agg(top.alias("top")).select(key, (-F.col("top.low")).alias("hub"))
 
 
 def jaccard_groups(

@@ -244,6 +244,25 @@ def test_sharing_with_many_sets_is_not_sharing_with_one(spark, monkeypatch):
     assert met == {(2 * i, d) for i in range(0, 80, 10) for d in (2 * i, 2 * i + 1)}
 
 
+def test_a_large_group_of_copies_of_copies_has_few_hubs(spark, monkeypatch):
+    """Each set meets the others at a few places, whichever parts it shares with whom."""
+    rng = random.Random(11)
+    words = words_of(rng, 300, 4000).split()
+    docs = []
+    for i in range(150):
+        own = list(words)
+        for at in rng.sample(range(300), rng.randrange(1, 20)):
+            own[at] = f"n{i}x{at}"
+        docs.append((i, " ".join(own)))
+    kept = []
+    keep = jaccard_join.checkpointed
+    monkeypatch.setattr(jaccard_join, "checkpointed", lambda df: kept.append(keep(df)) or kept[-1])
+    found = got(jaccard_join.jaccard_groups(frame(spark, docs)), "n_shingles", "component_id")
+    want = groups(docs, 4, 85)
+    assert found == want and 1 < len({c for _, c in want.values()}) < 150
+    assert sum(df.count() for df in kept if df.columns == ["hub", "doc"]) <= 2 * len(docs)
+
+
 def test_light_boundary_follows_cost():
     assert jaccard_join.light_boundary({}) == 0
     at = jaccard_join.light_boundary({n: 10 for n in range(7, 97)})
